@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reachgrid.functions.numbers import STEADY_DIGITS, is_number
+from reachgrid.functions.numbers import is_number
 from reachgrid.schema import require_columns
 
 # Texts shown on the maps.
@@ -24,10 +24,8 @@ def _grouped(number: Column, digits: int, big_mark: str, decimal_mark: str) -> C
 
 
 def _known(number: Column) -> Column:
-    """The number without NaN and without the last digits in which sums of
-    floating numbers differ from run to run."""
     number = number.cast("double")
-    return F.round(F.when(~F.isnan(number), number), STEADY_DIGITS)
+    return F.when(~F.isnan(number), number)
 
 
 def format_fahrtzeit(value: Column, digits: int = 1) -> Column:

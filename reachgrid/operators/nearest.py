@@ -118,23 +118,24 @@ def cell_table(
     )
 
 
-def add_admin_units(
-    rows: DataFrame, admin_units: DataFrame, columns: list[str] | None = None
+def cell_units(
+    cells: DataFrame, admin_units: DataFrame, columns: list[str] | None = None
 ) -> DataFrame:
-    """Attach the administrative columns; rows of unknown units stay."""
+    """Cells with the administrative columns of their municipality.
+
+    Cells of a municipality the unit table does not know stay, without units.
+    Units are attached to the cells and not to the much longer list of times,
+    so a large municipality is never a join key of that list.
+    """
     columns = columns or [c for c in ADMIN_COLUMNS if c in admin_units.columns]
     columns = [c for c in columns if c != MUNICIPALITY]
-    units = admin_units.select(F.col(MUNICIPALITY).alias("_unit"), *columns)
-    return rows.join(
-        units, rows[MUNICIPALITY].eqNullSafe(units["_unit"]), "left"
-    ).drop("_unit")
+    units = admin_units.select(MUNICIPALITY, *columns)
+    return cells.join(units, MUNICIPALITY, "left").select(*cells.columns, *columns)
 
 
 def grid_cell_data(
     nearest: DataFrame, cells: DataFrame, admin_units: DataFrame
 ) -> DataFrame:
     """Nearest rows with inhabitants and administrative units."""
-    rows = nearest.join(cells, CELL, "left").select(
-        *nearest.columns, PEOPLE, MUNICIPALITY
-    )
-    return add_admin_units(rows, admin_units)
+    units = cell_units(cells.select(CELL, PEOPLE, MUNICIPALITY), admin_units)
+    return nearest.join(units, CELL, "left")

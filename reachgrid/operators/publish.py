@@ -36,7 +36,7 @@ def build_scenario_properties(summary: DataFrame) -> DataFrame:
     require_columns(
         summary, ["Gemeindeschluessel", "Gemeindename", "Einwohner_Gesamt", mean]
     )
-    time = no_nan(summary, mean)
+    time = F.round(no_nan(summary, mean), STEADY_DIGITS)
     return summary.select(
         F.col("Gemeindeschluessel").alias("AGS"),
         F.col("Gemeindename").alias("GEN"),
@@ -113,7 +113,7 @@ def clinic_properties(sites: DataFrame, admin_units: DataFrame) -> DataFrame:
 
 def _json_value(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.round(F.round(no_nan(df, name), STEADY_DIGITS), DIGITS).alias(name)
+        return F.round(no_nan(df, name), DIGITS).alias(name)
     return F.col(name)
 
 

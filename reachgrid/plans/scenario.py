@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from reachgrid.functions.numbers import percent
 from reachgrid.operators.nearest import (
     COPIES,
-    add_admin_units,
     cell_table,
+    cell_units,
     grid_cell_data,
     nearest_hospitals,
     nearest_times,
@@ -32,10 +32,12 @@ from reachgrid.schema import (
     CELL_COMBINED,
     CELL_MUNICIPALITY,
     CELL_PEOPLE,
+    HOSPITAL,
     LAYOUT_COMBINED,
     LAYOUT_SPLIT,
     LEVELS,
     MUNICIPALITY,
+    SECONDS,
     TRAVEL_TIMES,
     TRAVEL_TIMES_SUBSET,
     one_of,
@@ -88,7 +90,9 @@ def scenario_cells(
     tables: ScenarioTables, hospitals: DataFrame, ties: str = "all"
 ) -> DataFrame:
     """One row per cell and nearest hospital with all administrative columns."""
-    nearest = nearest_hospitals(tables.travel_times, hospitals, ties)
+    nearest = nearest_hospitals(tables.travel_times, hospitals, ties).select(
+        HOSPITAL, CELL, SECONDS
+    )
     return grid_cell_data(nearest, tables.cells, tables.admin_units)
 
 
@@ -113,9 +117,8 @@ def _reached_cells(
     tables: ScenarioTables, hospitals: DataFrame, columns: list[str], ties: str
 ) -> DataFrame:
     nearest = nearest_times(tables.travel_times, hospitals, ties)
-    return add_admin_units(
-        nearest.join(tables.cells, CELL, "left"), tables.admin_units, columns
-    )
+    units = cell_units(tables.cells, tables.admin_units, columns)
+    return nearest.join(units, CELL, "left")
 
 
 def _on_all_levels(rows: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from reachgrid.operators.filters import (
     unmatched_template_rows,
 )
 from reachgrid.operators.nearest import (
-    add_admin_units,
+    cell_units,
     minimum_times,
     nearest_hospitals,
     nearest_times,
@@ -94,8 +94,8 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def people_rows(m: Model) -> DataFrame:
     """Every travel time with inhabitants and administrative units."""
-    rows = m.travel_times.join(m.cells_combined, "Gitterzellen_ID", "left")
-    return add_admin_units(rows, m.admin_units)
+    units = cell_units(m.cells_combined, m.admin_units)
+    return m.travel_times.join(units, "Gitterzellen_ID", "left")
 
 
 # Sources and sinks

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reachgrid.functions.numbers import count_values, minutes, no_nan, total
 from reachgrid.operators.difference import fahrzeit_differenz_zusammenfassung
 from reachgrid.operators.nearest import nearest_single
+from reachgrid.operators.rows import count_rows, repeat_rows
 from reachgrid.operators.summary import fahrzeit_zusammenfassung
 from reachgrid.schema import CELL, HOSPITAL, PEOPLE, SECONDS, require_columns
 
@@ -40,11 +41,8 @@ def redundanz_analyse(data: DataFrame, n: int = 2) -> DataFrame:
     group of copies is never ranked row by row. The times of a cell are taken
     in order until ``n`` rows are reached; at most ``n`` of them matter.
     """
-    rows = (
-        data.filter(F.col(SECONDS).isNotNull())
-        .groupBy(CELL, HOSPITAL, SECONDS)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    known = data.filter(F.col(SECONDS).isNotNull())
+    rows = count_rows(known, [CELL, HOSPITAL, SECONDS], "_copies")
     by_time = Window.partitionBy(CELL).orderBy(SECONDS)
     before = by_time.rowsBetween(Window.unboundedPreceding, -1)
     times = (
@@ -58,17 +56,11 @@ def redundanz_analyse(data: DataFrame, n: int = 2) -> DataFrame:
     )
     tied = Window.partitionBy(CELL, SECONDS).orderBy(HOSPITAL)
     offset = F.sum("_copies").over(tied.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        rows.join(times, [CELL, SECONDS])
-        .withColumn("_before", F.col("_before") + F.coalesce(offset, F.lit(0)))
-        .select(
-            CELL,
-            HOSPITAL,
-            SECONDS,
-            "_before",
-            F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
-        )
-        .select(CELL, HOSPITAL, SECONDS, (F.col("_before") + F.col("_copy")).alias(RANK))
+    kept = rows.join(times, [CELL, SECONDS]).withColumn(
+        "_before", F.col("_before") + F.coalesce(offset, F.lit(0))
+    )
+    return repeat_rows(kept, "_copies", "_copy").select(
+        CELL, HOSPITAL, SECONDS, (F.col("_before") + F.col("_copy")).alias(RANK)
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachgrid.functions.numbers import minutes, no_nan, percent, total, weighted_mean
+from reachgrid.operators.rows import count_rows
 from reachgrid.schema import PEOPLE, SECONDS, require_columns
 
 REFERENCE = "_Referenz"
@@ -91,7 +92,7 @@ def fahrzeit_differenz_zusammenfassung(
     def collapsed(side: DataFrame, copies: str) -> DataFrame:
         wanted = {*keys, *by, PEOPLE, SECONDS + REFERENCE, SECONDS + SCENARIO}
         kept = [c for c in side.columns if c in wanted]
-        return side.groupBy(*kept).agg(F.count(F.lit(1)).alias(copies))
+        return count_rows(side, kept, copies)
 
     joined = _with_difference(
         _null_safe_left_join(collapsed(left, "_left"), collapsed(right, "_right"), keys)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reachgrid.operators.rows import count_rows
 from reachgrid.schema import (
     ADMIN_COLUMNS,
     CELL,
@@ -86,12 +87,10 @@ def nearest_times(
     before the second; both steps are hash aggregates over a single scan.
     """
     one_of(ties, ("all", "one"), "ties")
-    counts = (
-        scenario_times(travel_times, hospitals)
-        .filter(F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull())
-        .groupBy(CELL, SECONDS)
-        .agg(F.count(F.lit(1)).alias(COPIES))
+    times = scenario_times(travel_times, hospitals).filter(
+        F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull()
     )
+    counts = count_rows(times, [CELL, SECONDS], COPIES)
     copies = F.min_by(COPIES, SECONDS) if ties == "all" else F.lit(1).cast("long")
     return counts.groupBy(CELL).agg(
         F.min(SECONDS).alias(SECONDS), copies.alias(COPIES)

@@ -74,9 +74,11 @@ def _threshold_columns(thresholds: list[float]) -> list[Column]:
     return counts + shares
 
 
-def summarise_threshold(data: DataFrame, by: list[str], threshold: float) -> DataFrame:
+def summarise_threshold(
+    data: DataFrame, by: list[str], threshold: float, copies: str | None = None
+) -> DataFrame:
     """Affected inhabitants at one threshold, which the result also names."""
-    prepared = _prepare(data, None)
+    prepared = _prepare(data, copies)
     return (
         prepared.groupBy(*by)
         .agg(*_threshold_columns([threshold]))
@@ -113,8 +115,7 @@ def fahrzeit_zusammenfassung(
     require_columns(data, [CELL, *by])
     prepared = _prepare(data, copies)
     thresholds = clean_thresholds(grenzwert_minuten)
-    columns = summary_columns(thresholds) if thresholds else summary_columns([])
-    return prepared.groupBy(*by).agg(*columns)
+    return prepared.groupBy(*by).agg(*summary_columns(thresholds))
 
 
 def level_of(verwaltungsebene: str) -> Level:

@@ -20,6 +20,7 @@ from reachgrid.operators.publish import (
 )
 from reachgrid.operators.summary import compute_percentage_covered, filter_by_coverage
 from reachgrid.schema import HOSPITAL, one_of
+from reachgrid.session import stored
 from reachgrid.sinks.documents import (
     item_lines,
     json_text,
@@ -113,7 +114,7 @@ class _Layout:
     def add_collection(self, collection: Collection) -> None:
         crs = json_text(CRS)
         self.add_text(f'{{"type":"FeatureCollection","crs":{crs},"features":[')
-        self.add_items(collection.features)
+        self.add_items(stored(collection.features, "features"))
         self.add_text("]")
         if collection.scenario1 is not None:
             self.add_text(',"mainHash":"","scenario1":')
@@ -145,8 +146,10 @@ def szenario_to_geojson(
     """Every municipality polygon with the times of a scenario.
 
     Units covered to less than the threshold are published without values; the
-    overall coverage counts them.
+    overall coverage counts them. The summary, one row per unit, is stored
+    first, because a document reads it several times.
     """
+    summary = stored(summary, "summary")
     covered = filter_by_coverage(summary, grenzwert_abdeckung)
     properties = add_empty_scenario2_columns(build_scenario_properties(covered))
     joined = join_properties_to_polygons(polygons, properties)

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 import reachgrid
 
@@ -45,3 +45,14 @@ def scratch(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="reachgrid-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared scratch folder and read back.
+
+    For results that a later step reads more than once: the plan behind them
+    runs a single time, and a lost executor does not run it again.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

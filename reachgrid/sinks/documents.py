@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reachgrid.operators.rows import count_rows, repeat_rows
+
 def text_line(spark: SparkSession, section: int, text: str) -> DataFrame:
     """A fixed line of a document."""
     return spark.range(1).select(
@@ -39,7 +41,7 @@ def item_lines(items: DataFrame, section: int) -> DataFrame:
     found with a plain minimum; equal elements are counted before, so that
     there is exactly one first row.
     """
-    unique = items.groupBy("key", "line").agg(F.count(F.lit(1)).alias("_copies"))
+    unique = count_rows(items, ["key", "line"], "_copies")
     first = unique.agg(F.min(F.struct("key", "line")).alias("_first")).select(
         F.col("_first.key").alias("_key"), F.col("_first.line").alias("_line")
     )
@@ -47,16 +49,10 @@ def item_lines(items: DataFrame, section: int) -> DataFrame:
         first,
         unique["key"].eqNullSafe(first["_key"]) & (unique["line"] == first["_line"]),
         "left",
-    )
-    comma = F.when(
-        F.col("_line").isNotNull() & (F.col("_copy") == 1), F.lit(" ")
-    ).otherwise(F.lit(","))
-    return marked.select(
-        "key",
-        "line",
-        "_line",
-        F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
-    ).select(
+    ).drop("_key")
+    is_first = F.col("_line").isNotNull() & (F.col("_copy") == 1)
+    comma = F.when(is_first, F.lit(" ")).otherwise(F.lit(","))
+    return repeat_rows(marked, "_copies", "_copy").select(
         F.lit(section).alias("section"),
         "key",
         F.concat(comma, F.col("line")).alias("line"),

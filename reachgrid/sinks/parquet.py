@@ -59,11 +59,12 @@ def write_partitioned(
 ) -> None:
     """One folder per value of ``by``.
 
-    The rows are not gathered by value first, so a value that holds much of
-    the table is written by many tasks.
+    Rows are rebalanced by value, which makes few files of a good size; a value
+    that holds much of the table is split between tasks again.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", by)
+        .write.mode("overwrite")
         .option("compression", compression.lower())
         .option("maxRecordsPerFile", max_rows_per_file)
         .partitionBy(by)

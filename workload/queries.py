@@ -43,6 +43,7 @@ from reachgrid.operators.publish import (
     join_properties_to_polygons,
 )
 from reachgrid.operators.quality import duplicate_keys, table_counts
+from reachgrid.operators.rows import count_rows
 from reachgrid.operators.summary import (
     compute_percentage_covered,
     fahrzeit_zusammenfassung,
@@ -98,6 +99,13 @@ def people_rows(m: Model) -> DataFrame:
     return m.travel_times.join(units, "Gitterzellen_ID", "left")
 
 
+def counted_rows(m: Model) -> DataFrame:
+    """The same, with equal times of a cell counted before they are joined."""
+    units = cell_units(m.cells_combined, m.admin_units)
+    counted = count_rows(m.travel_times, ["Gitterzellen_ID", "Fahrzeit_Sekunden"], "n")
+    return counted.join(units, "Gitterzellen_ID", "left")
+
+
 # Sources and sinks
 
 
@@ -195,17 +203,17 @@ def grid_cell_data_query(layout: str):
 
 
 def travel_time_summary(m: Model) -> DataFrame:
-    return fahrzeit_zusammenfassung(people_rows(m), ["Kreis_ID", "Kreis"])
+    return fahrzeit_zusammenfassung(counted_rows(m), ["Kreis_ID", "Kreis"], copies="n")
 
 
 def multi_threshold(m: Model) -> DataFrame:
     return fahrzeit_zusammenfassung(
-        people_rows(m), ["Kreis_ID", "Kreis"], [15, 30, None, 45, 30]
+        counted_rows(m), ["Kreis_ID", "Kreis"], [15, 30, None, 45, 30], copies="n"
     )
 
 
 def affected_population(m: Model) -> DataFrame:
-    return summarise_threshold(people_rows(m), ["Gemeindeschluessel"], 25)
+    return summarise_threshold(counted_rows(m), ["Gemeindeschluessel"], 25, copies="n")
 
 
 def inhabited(m: Model) -> DataFrame:

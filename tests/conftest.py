@@ -1,0 +1,28 @@
+import pytest
+from pyspark.sql import SparkSession
+
+from reachgrid.session import tune
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield tune(session)
+    session.stop()
+
+
+def rows(df, *order):
+    """Rows as tuples, in the order of the given or of all columns."""
+    key = order or df.columns
+    found = [r.asDict() for r in df.collect()]
+    found.sort(key=lambda r: [(r[c] is None, r[c]) for c in key])
+    return [tuple(r.values()) for r in found]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reachgrid.functions.numbers import is_number
+from reachgrid.functions.numbers import STEADY_DIGITS, is_number
 from reachgrid.schema import require_columns
 
 # Texts shown on the maps.
@@ -46,6 +46,16 @@ def format_ewz(value: Column) -> Column:
     return F.coalesce(text, F.lit(NO_DATA))
 
 
+def _formatted(
+    df: DataFrame, name: str, digits: int, big_mark: str, decimal_mark: str, number: Column
+) -> Column:
+    if not is_number(df, name):
+        return F.col(f"`{name}`").cast("string")
+    whole = isinstance(df.schema[name].dataType, T.IntegralType)
+    text = _grouped(number, 0 if whole else digits, big_mark, decimal_mark)
+    return F.coalesce(text, F.lit("NA"))
+
+
 def format_label_columns(
     df: DataFrame,
     columns: list[str],
@@ -58,26 +68,35 @@ def format_label_columns(
     Integer columns show no decimals, floating columns ``digits`` of them and
     a missing number ``NA``. Each row is formatted on its own, without padding.
     """
-    added = {}
-    for name in columns:
-        if name not in df.columns:
-            continue
-        if is_number(df, name):
-            whole = isinstance(df.schema[name].dataType, T.IntegralType)
-            number = _known(F.col(f"`{name}`"))
-            text = _grouped(number, 0 if whole else digits, big_mark, decimal_mark)
-            added[f"{name}_formatted"] = F.coalesce(text, F.lit("NA"))
-        else:
-            added[f"{name}_formatted"] = F.col(f"`{name}`").cast("string")
+    added = {
+        f"{c}_formatted": _formatted(
+            df, c, digits, big_mark, decimal_mark, _known(F.col(f"`{c}`"))
+        )
+        for c in columns
+        if c in df.columns
+    }
     return df.withColumns(added) if added else df
 
 
+def _label_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The same for computed means and shares, whose last digits depend on the
+    order they were summed in: a label must not change from run to run."""
+    return df.withColumns(
+        {
+            f"{c}_formatted": _formatted(
+                df, c, 1, " ", ",", F.round(_known(F.col(f"`{c}`")), STEADY_DIGITS)
+            )
+            for c in columns
+        }
+    )
+
+
 def _label(df: DataFrame, unit: str, value_col: str, caption: str) -> DataFrame:
     base = [value_col, "Einwohner_Gesamt"]
     affected = ["Anzahl_Betroffene", "Prozent_Betroffene"]
     require_columns(df, base + [unit])
     long_form = all(c in df.columns for c in affected)
-    df = format_label_columns(df, base + (affected if long_form else []))
+    df = _label_columns(df, base + (affected if long_form else []))
     parts = [
         F.lit("<strong>"),
         F.coalesce(F.col(f"`{unit}`").cast("string"), F.lit("NA")),

@@ -122,7 +122,8 @@ def cell_units(
 ) -> DataFrame:
     """Cells with the administrative columns of their municipality.
 
-    Cells of a municipality the unit table does not know stay, without units.
+    Cells of a municipality the unit table does not know stay, without units;
+    the key of the unit table itself is never NULL.
     Units are attached to the cells and not to the much longer list of times,
     so a large municipality is never a join key of that list.
     """

@@ -33,7 +33,7 @@ from reachgrid.schema import (
     TRAVEL_TIMES_SUBSET,
 )
 from reachgrid.sinks.lists import write_list
-from reachgrid.sinks.parquet import CHUNK_ROWS, export_all_tables
+from reachgrid.sinks.parquet import CHUNK_ROWS, export_all_tables, write_parquet
 from reachgrid.sources.lists import (
     read_hospital_list,
     read_municipality_list,
@@ -63,10 +63,20 @@ def preprocess_geofilter_list(
     return matched, unmatched_template_rows(template, units)
 
 
+def _write_filter(
+    spark: SparkSession, keys: DataFrame, output_dir: str, name: str, compression: str
+) -> tuple[str, DataFrame]:
+    """Write the filter list first; the selection then reads it back."""
+    path = f"{output_dir.rstrip('/')}/{name}.parquet"
+    write_parquet(keys, path, compression)
+    return path, spark.read.schema(keys.schema).parquet(path)
+
+
 def _write_extract(
     spark: SparkSession,
     source: Source,
     output_dir: str,
+    filters: dict[str, str],
     selected: dict[str, DataFrame],
     support: Iterable[str],
     geometry_tables: Iterable[str],
@@ -76,7 +86,7 @@ def _write_extract(
     large_tables: Iterable[str],
 ) -> Extract:
     tables = {**selected, **{n: source.table(spark, n) for n in support}}
-    written = export_all_tables(
+    written = filters | export_all_tables(
         tables,
         output_dir,
         large_tables=large_tables,
@@ -113,12 +123,16 @@ def run_geofilter(
         source.table(spark, CELL_MUNICIPALITY),
         source.table(spark, CELL_PEOPLE),
     )
+    path, cells = _write_filter(
+        spark, cells, output_dir, filter_table_name, compression
+    )
     subset = filter_by_cells(source.table(spark, TRAVEL_TIMES), cells)
     return _write_extract(
         spark,
         source,
         output_dir,
-        {filter_table_name: cells, target_table_name: subset},
+        {filter_table_name: path},
+        {target_table_name: subset},
         relevant_tables if tables_to_copy is None else tables_to_copy,
         geometry_tables,
         geometry_column,
@@ -157,7 +171,10 @@ def klinikfilter(
     dedupe_keys: bool = False,
 ) -> Extract:
     """Travel times to the listed hospitals."""
-    hospitals = read_hospital_list(spark, hospital_csv)
+    hospitals = read_hospital_list(spark, hospital_csv).select(HOSPITAL)
+    path, hospitals = _write_filter(
+        spark, hospitals, output_dir, filter_table_name, compression
+    )
     subset = filter_by_hospitals(
         source.table(spark, TRAVEL_TIMES), hospitals, dedupe_keys
     )
@@ -165,7 +182,8 @@ def klinikfilter(
         spark,
         source,
         output_dir,
-        {filter_table_name: hospitals.select(HOSPITAL), target_table_name: subset},
+        {filter_table_name: path},
+        {target_table_name: subset},
         relevant_tables if tables_to_copy is None else tables_to_copy,
         geometry_tables,
         geometry_column,
@@ -192,6 +210,7 @@ def komplettexport(
         source,
         output_dir,
         {},
+        {},
         names,
         geometry_tables,
         geometry_column,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -29,6 +29,9 @@ from reachgrid.schema import GEOMETRY, require_columns
 VERSION = "1.0.0"
 FORMAT = "geoparquet"
 
+# Batches are gathered up to this size, so that row groups are worth a read.
+ROW_GROUP_BYTES = 64 * 1024 * 1024
+
 
 class FileInfo:
     """Geometry types and bounding box of the rows written so far."""
@@ -58,6 +61,20 @@ class FileInfo:
         ).encode()
 
 
+def _row_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches in tables of about the size of a row group."""
+    waiting, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            size += batch.nbytes
+        if size >= ROW_GROUP_BYTES:
+            yield pa.Table.from_batches(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
 def _join(a: tuple, b: tuple) -> tuple:
     return (min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3]))
 
@@ -85,18 +102,16 @@ class _Writer(DataSourceArrowWriter):
         name = f"part-{uuid.uuid4().hex}.parquet"
         writer, info = None, FileInfo()
         try:
-            for batch in iterator:
-                if not batch.num_rows:
-                    continue
+            for table in _row_groups(iterator):
                 if writer is None:
                     writer = pq.ParquetWriter(
                         f"{folder}/{name}",
-                        batch.schema,
+                        table.schema,
                         filesystem=filesystem,
                         compression=self.codec,
                     )
-                info.add(batch.column(batch.schema.get_field_index(self.column)))
-                writer.write_batch(batch)
+                info.add(table.column(self.column))
+                writer.write_table(table)
             if writer is not None:
                 writer.add_key_value_metadata({"geo": info.footer(self.column)})
         finally:

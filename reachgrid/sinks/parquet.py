@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reachgrid.schema import GEOMETRY, GEOMETRY_TABLES, LARGE_TABLES
 from reachgrid.sinks.geoparquet import write_geoparquet
-from reachgrid.sources.lists import number_lines
 from reachgrid.sources.tables import Snapshot, Source, path_exists
 
 CHUNK_ROWS = 100_000_000
@@ -27,20 +25,14 @@ def write_chunks(
     table: str,
     compression: str = "SNAPPY",
     chunk_size: int = CHUNK_ROWS,
-    exact: bool = False,
     mode: str = "overwrite",
 ) -> str:
     """Write ``<folder>/<table>_chunks`` with at most ``chunk_size`` rows a file.
 
-    Every task cuts its own files, so the write runs in parallel. ``exact``
-    gives the fewest files possible instead: rows are numbered into full chunks
-    and no chunk is divided between tasks.
+    Every task cuts its own files, so the write runs in parallel; a table in
+    one partition gives the fewest files possible.
     """
     path = f"{folder.rstrip('/')}/{table}_chunks"
-    if exact:
-        numbered = number_lines(df, "_row")
-        chunk = F.floor((F.col("_row") - 1) / F.lit(chunk_size))
-        df = numbered.repartition(chunk).drop("_row")
     (
         df.write.mode(mode)
         .option("compression", compression.lower())

@@ -43,7 +43,8 @@ def number_lines(df: DataFrame, name: str = LINE_NUMBER) -> DataFrame:
     """Number the rows of a file from 1 on, without gathering them in one task.
 
     Spark numbers rows within a partition; the rows of the partitions before
-    are added. The helper table has one row per partition.
+    are added. The helper table has one row per partition. The table must be a
+    plain file scan, whose partitions are the same each time it is read.
     """
     marked = df.withColumn("_id", F.monotonically_increasing_id())
     marked = marked.withColumn("_part", F.shiftright("_id", 33))
@@ -54,8 +55,8 @@ def number_lines(df: DataFrame, name: str = LINE_NUMBER) -> DataFrame:
     )
     in_part = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        marked.join(starts, "_part")
-        .withColumn(name, F.col("_start") + in_part + 1)
+        marked.join(starts, "_part", "left")
+        .withColumn(name, F.coalesce("_start", F.lit(0)) + in_part + 1)
         .select(name, *df.columns)
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reachgrid.functions.geometry import point_wkb, square_wkb
@@ -18,21 +18,33 @@ from reachgrid.operators.nearest import cell_table
 from reachgrid.plans.scenario import ScenarioTables
 from reachgrid.schema import LAYOUT_COMBINED, LAYOUT_SPLIT
 
-
-def _nation_code(key: str) -> Column:
-    return F.lpad(F.col(key).cast("string"), 2, "0")
-
-
-def _hospital_number(key: str) -> Column:
-    return F.lpad(F.col(key).cast("string"), 12, "0")
-
-
-def _block() -> Column:
-    return F.floor(F.col("c_custkey") / 500).cast("string")
-
-
-def _municipality_key() -> Column:
-    return F.concat_ws("-", _nation_code("c_nationkey"), "c_mktsegment", _block())
+# Declared, so that no job has to look into a file before a query is planned.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string"
+    ),
+}
+
+_CELL = "CAST(c_custkey AS STRING) AS Gitterzellen_ID"
+_BLOCK = "CAST(floor(c_custkey / 500) AS STRING)"
+_MUNICIPALITY = (
+    "concat_ws('-', lpad(CAST(c_nationkey AS STRING), 2, '0'), c_mktsegment, "
+    f"{_BLOCK}) AS Gemeindeschluessel"
+)
+_HOSPITAL = "lpad(CAST({} AS STRING), 12, '0')"
+_HOSPITAL_COLUMN = _HOSPITAL.format("s_suppkey") + " AS Krankenhaus_Standortnummer"
 
 
 @dataclass(frozen=True)
@@ -41,62 +53,49 @@ class Model:
     folder: str
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
 
     @cached_property
     def _areas(self) -> DataFrame:
-        return self.raw("nation").join(
-            self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+        on = F.expr("n_regionkey = r_regionkey")
+        return self.raw("nation").join(self.raw("region"), on)
 
     @cached_property
     def admin_units(self) -> DataFrame:
         """Every municipality but those of one district, whose cells stay unknown."""
-        customers = self.raw("customer").select(
-            "c_nationkey",
-            "c_mktsegment",
-            _block().alias("block"),
-            _municipality_key().alias("Gemeindeschluessel"),
+        municipalities = (
+            self.raw("customer")
+            .selectExpr("c_nationkey", "c_mktsegment", f"{_BLOCK} AS block", _MUNICIPALITY)
+            .distinct()
         )
-        nation, segment = F.col("n_name"), F.col("c_mktsegment")
-        district = F.concat_ws("-", _nation_code("n_nationkey"), segment)
         return (
-            customers.distinct()
-            .join(self._areas, F.col("c_nationkey") == F.col("n_nationkey"))
-            .filter(~((F.col("n_nationkey") == 24) & (segment == "MACHINERY")))
-            .select(
+            municipalities.join(self._areas, F.expr("c_nationkey = n_nationkey"))
+            .where("NOT (n_nationkey = 24 AND c_mktsegment = 'MACHINERY')")
+            .selectExpr(
                 "Gemeindeschluessel",
-                F.concat_ws(" ", nation, segment, "block").alias("Gemeindename"),
-                F.col("Gemeindeschluessel").alias("Gemeinde_ID"),
-                F.concat_ws(" ", nation, segment).alias("Kreis"),
-                district.alias("Kreis_ID"),
-                nation.alias("Regierungsbezirk"),
-                _nation_code("n_nationkey").alias("Regierungsbezirk_ID"),
-                F.col("r_name").alias("Bundesland"),
-                F.col("r_regionkey").cast("string").alias("Bundesland_ID"),
+                "concat_ws(' ', n_name, c_mktsegment, block) AS Gemeindename",
+                "Gemeindeschluessel AS Gemeinde_ID",
+                "concat_ws(' ', n_name, c_mktsegment) AS Kreis",
+                "concat_ws('-', lpad(CAST(n_nationkey AS STRING), 2, '0'), c_mktsegment)"
+                " AS Kreis_ID",
+                "n_name AS Regierungsbezirk",
+                "lpad(CAST(n_nationkey AS STRING), 2, '0') AS Regierungsbezirk_ID",
+                "r_name AS Bundesland",
+                "CAST(r_regionkey AS STRING) AS Bundesland_ID",
             )
         )
 
     @cached_property
     def cell_municipality(self) -> DataFrame:
-        return self.raw("customer").select(
-            F.col("c_custkey").cast("string").alias("Gitterzellen_ID"),
-            _municipality_key().alias("Gemeindeschluessel"),
-        )
+        return self.raw("customer").selectExpr(_CELL, _MUNICIPALITY)
 
     @cached_property
     def cell_people(self) -> DataFrame:
         """Cells with a negative balance have no inhabitants and no row; for
         balances below 100 the number is unknown."""
-        balance = F.col("c_acctbal")
-        return (
-            self.raw("customer")
-            .filter(balance >= 0)
-            .select(
-                F.col("c_custkey").cast("string").alias("Gitterzellen_ID"),
-                F.when(balance >= 100, F.floor(balance)).alias("Einwohner"),
-            )
-        )
+        people = "CASE WHEN c_acctbal >= 100 THEN floor(c_acctbal) END AS Einwohner"
+        return self.raw("customer").where("c_acctbal >= 0").selectExpr(_CELL, people)
 
     @cached_property
     def cells_combined(self) -> DataFrame:
@@ -105,38 +104,28 @@ class Model:
     @cached_property
     def travel_times(self) -> DataFrame:
         """A cell and hospital may repeat, and some times are unknown."""
-        lines = self.raw("lineitem").select(
-            "l_orderkey",
-            "l_suppkey",
-            "l_quantity",
-            "l_extendedprice",
-            "l_discount",
-            "l_tax",
-            "l_returnflag",
-        )
-        orders = self.raw("orders").select("o_orderkey", "o_custkey")
-        seconds = F.col("l_quantity") * 60 + F.round(F.col("l_discount") * 100)
-        unknown = (F.col("l_returnflag") == "R") & (F.col("l_tax") == 0)
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").cast("string").alias("Gitterzellen_ID"),
-            _hospital_number("l_suppkey").alias("Krankenhaus_Standortnummer"),
-            F.when(~unknown, seconds.cast("int")).alias("Fahrzeit_Sekunden"),
-            F.floor("l_extendedprice").alias("Fahrstrecke_Meter"),
+        on = F.expr("l_orderkey = o_orderkey")
+        return (
+            self.raw("lineitem")
+            .join(self.raw("orders"), on)
+            .selectExpr(
+                "CAST(o_custkey AS STRING) AS Gitterzellen_ID",
+                _HOSPITAL.format("l_suppkey") + " AS Krankenhaus_Standortnummer",
+                "CASE WHEN NOT (l_returnflag = 'R' AND l_tax = 0) THEN "
+                "CAST(l_quantity * 60 + floor(l_discount * 100 + 0.5D) AS INT) END "
+                "AS Fahrzeit_Sekunden",
+                "floor(l_extendedprice) AS Fahrstrecke_Meter",
+            )
         )
 
     @cached_property
     def all_hospitals(self) -> DataFrame:
-        return self.raw("supplier").select(
-            _hospital_number("s_suppkey").alias("Krankenhaus_Standortnummer")
-        )
+        return self.raw("supplier").selectExpr(_HOSPITAL_COLUMN)
 
     def hospitals_between(self, low: float, high: float) -> DataFrame:
         """A scenario: the hospitals whose balance lies in a range."""
-        return (
-            self.raw("supplier")
-            .filter(F.col("s_acctbal").between(low, high))
-            .select(_hospital_number("s_suppkey").alias("Krankenhaus_Standortnummer"))
-        )
+        chosen = self.raw("supplier").where(f"s_acctbal BETWEEN {low} AND {high}")
+        return chosen.selectExpr(_HOSPITAL_COLUMN)
 
     @cached_property
     def scenario(self) -> DataFrame:
@@ -160,60 +149,49 @@ class Model:
     @cached_property
     def hospital_sites(self) -> DataFrame:
         """Sites with a point each; a low balance leaves the operator open."""
-        key = F.col("s_suppkey")
-        return self.raw("supplier").select(
-            F.concat(F.lit("K"), _hospital_number("s_suppkey")).alias(
-                "Krankenhaus_Standort_ID"
-            ),
-            _hospital_number("s_suppkey").alias("Krankenhaus_Standortnummer"),
-            F.col("s_name").alias("Bezeichnung"),
-            F.when(
-                F.col("s_acctbal") >= 3000, F.concat(F.lit("Land "), "s_nationkey")
-            ).alias("Träger"),
-            F.concat(F.lit("Weg "), key.cast("string")).alias("Adresse"),
-            F.concat_ws("-", _nation_code("s_nationkey"), F.lit("BUILDING-0")).alias(
-                "Gemeindeschluessel"
-            ),
-            point_wkb(
-                F.col("s_nationkey") + F.lit(0.25), F.col("s_acctbal") / 200
-            ).alias("geometry"),
+        sites = self.raw("supplier").selectExpr(
+            "concat('K', " + _HOSPITAL.format("s_suppkey") + ") AS Krankenhaus_Standort_ID",
+            _HOSPITAL_COLUMN,
+            "s_name AS Bezeichnung",
+            "CASE WHEN s_acctbal >= 3000 THEN concat('Land ', s_nationkey) END AS `Träger`",
+            "concat('Weg ', s_suppkey) AS Adresse",
+            "concat(lpad(CAST(s_nationkey AS STRING), 2, '0'), '-BUILDING-0')"
+            " AS Gemeindeschluessel",
+            "s_nationkey + 0.25D AS x",
+            "s_acctbal / 200 AS y",
         )
+        return sites.withColumn("geometry", point_wkb(F.col("x"), F.col("y"))).drop("x", "y")
 
     @cached_property
     def polygons(self) -> DataFrame:
         """A unit square per municipality of the cells, the unknown ones too."""
         areas = (
             self.raw("customer")
-            .groupBy(_municipality_key().alias("Gemeindeschluessel"))
-            .agg(F.max("c_nationkey").alias("x"), F.min("c_mktsegment").alias("segment"))
+            .selectExpr(_MUNICIPALITY, "c_nationkey AS x", "length(c_mktsegment) AS y")
+            .distinct()
         )
         return areas.select(
             "Gemeindeschluessel",
-            F.concat_ws(" ", F.lit("Ort"), "Gemeindeschluessel").alias("Gemeindename"),
-            square_wkb(F.col("x"), F.length("segment")).alias("geometry"),
+            F.expr("concat('Ort ', Gemeindeschluessel) AS Gemeindename"),
+            square_wkb(F.col("x"), F.col("y")).alias("geometry"),
         )
 
     @cached_property
     def template(self) -> DataFrame:
         """A template row per supplier: which columns it fills follows from the
         balance, and some name an area there is none of."""
-        balance = F.col("s_acctbal")
-        nation_name = F.col("n_name")
         return (
             self.raw("supplier")
-            .join(self._areas, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                (F.col("s_suppkey") + 1).alias("Zeile"),
-                F.when(balance.between(9700, 9800), F.col("r_name")).alias("Bundesland"),
-                F.when(balance.between(8800, 9900), nation_name).alias(
-                    "Regierungsbezirk"
-                ),
-                F.when(
-                    balance < 8000, F.concat(nation_name, F.lit(" FURNITURE"))
-                ).alias("Kreis"),
-                F.when(balance < 4000, F.concat(nation_name, F.lit(" FURNITURE 1")))
-                .when(balance.between(8000, 8800), F.lit("Nirgendwo"))
-                .when(balance > 9900, F.concat(nation_name, F.lit(" BUILDING 2")))
-                .alias("Gemeindename"),
+            .join(self._areas, F.expr("s_nationkey = n_nationkey"))
+            .selectExpr(
+                "s_suppkey + 1 AS Zeile",
+                "CASE WHEN s_acctbal BETWEEN 9700 AND 9800 THEN r_name END AS Bundesland",
+                "CASE WHEN s_acctbal BETWEEN 8800 AND 9900 THEN n_name END"
+                " AS Regierungsbezirk",
+                "CASE WHEN s_acctbal < 8000 THEN concat(n_name, ' FURNITURE') END AS Kreis",
+                "CASE WHEN s_acctbal < 4000 THEN concat(n_name, ' FURNITURE 1')"
+                " WHEN s_acctbal BETWEEN 8000 AND 8800 THEN 'Nirgendwo'"
+                " WHEN s_acctbal > 9900 THEN concat(n_name, ' BUILDING 2')"
+                " END AS Gemeindename",
             )
         )

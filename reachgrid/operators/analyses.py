@@ -24,13 +24,27 @@ def naechstes_krankenhaus(data: DataFrame, by: str = CELL) -> DataFrame:
     return nearest_single(data, by)
 
 
+def _nearest_with_units(data: DataFrame, units: DataFrame | None) -> DataFrame:
+    """One row per cell; inhabitants and units join these few rows, where they
+    are not already in the data."""
+    nearest = nearest_single(data)
+    return nearest if units is None else nearest.join(units, CELL, "left")
+
+
 def schliessung_simulieren(
-    data: DataFrame, closed: DataFrame, by: list[str], keys: list[str]
+    data: DataFrame,
+    closed: DataFrame,
+    by: list[str],
+    keys: list[str],
+    units: DataFrame | None = None,
 ) -> DataFrame:
     """Change of travel times if the listed hospitals close."""
     remaining = data.join(closed.select(HOSPITAL), HOSPITAL, "left_anti")
     return fahrzeit_differenz_zusammenfassung(
-        nearest_single(data), nearest_single(remaining), by, keys
+        _nearest_with_units(data, units),
+        _nearest_with_units(remaining, units),
+        by,
+        keys,
     )
 
 
@@ -74,10 +88,10 @@ def erreichbare_gebiete(
     )
 
 
-def einzugsgebiet(data: DataFrame) -> DataFrame:
+def einzugsgebiet(data: DataFrame, units: DataFrame | None = None) -> DataFrame:
     """Inhabitants and municipalities each hospital is nearest to."""
-    require_columns(data, [PEOPLE, "Gemeindename"])
-    nearest = nearest_single(data)
+    nearest = _nearest_with_units(data, units)
+    require_columns(nearest, [PEOPLE, "Gemeindename"])
     return nearest.groupBy(HOSPITAL).agg(
         total(no_nan(nearest, PEOPLE)).alias("Einwohner_Versorgt"),
         count_values(F.col("Gemeindename")).alias("Gemeinden_Anzahl"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachgrid.operators.rows import count_rows
+from reachgrid.operators.rows import count_rows, repeat_rows
 from reachgrid.schema import (
     ADMIN_COLUMNS,
     CELL,
@@ -42,22 +42,40 @@ def minimum_times(times: DataFrame) -> DataFrame:
     return times.groupBy(CELL).agg(F.min(SECONDS).alias("min_fahrzeit"))
 
 
+def nearest_counted(travel_times: DataFrame, hospitals: DataFrame) -> DataFrame:
+    """All nearest hospitals per cell, equal rows once with their number.
+
+    The times are read once. Counting leaves a cell with at most one row per
+    hospital and time; Spark then keeps the first rank of each cell in every
+    task before it shuffles, so only the hospitals tied for a cell ever meet.
+    """
+    times = _known(scenario_times(travel_times, hospitals))
+    by_time = Window.partitionBy(CELL).orderBy(SECONDS)
+    return (
+        count_rows(times, [HOSPITAL, CELL, SECONDS], COPIES)
+        .withColumn("_rank", F.rank().over(by_time))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )
+
+
 def nearest_hospitals(
     travel_times: DataFrame, hospitals: DataFrame, ties: str = "all"
 ) -> DataFrame:
     """The nearest hospitals per cell: all of them, or one where they tie.
 
-    ``"all"`` joins the minima back on cell and time. Both are join keys, so a
-    cell with very many rows is spread by its times, and what remains on one
-    key the planner may split between tasks. ``"one"`` takes the smallest
-    hospital number and keeps a cell without any known time.
+    ``"one"`` takes the smallest hospital number and keeps a cell without any
+    known time.
     """
     one_of(ties, ("all", "one"), "ties")
-    times = scenario_times(travel_times, hospitals)
     if ties == "one":
-        return nearest_single(times)
-    best = minimum_times(times).withColumnRenamed("min_fahrzeit", SECONDS)
-    return times.join(best, [CELL, SECONDS]).select(HOSPITAL, CELL, SECONDS)
+        return nearest_single(scenario_times(travel_times, hospitals))
+    counted = nearest_counted(travel_times, hospitals)
+    return repeat_rows(counted, COPIES, "_copy").drop("_copy")
+
+
+def _known(times: DataFrame) -> DataFrame:
+    return times.filter(F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull())
 
 
 def nearest_single(times: DataFrame, by: str = CELL) -> DataFrame:
@@ -87,9 +105,7 @@ def nearest_times(
     before the second; both steps are hash aggregates over a single scan.
     """
     one_of(ties, ("all", "one"), "ties")
-    times = scenario_times(travel_times, hospitals).filter(
-        F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull()
-    )
+    times = _known(scenario_times(travel_times, hospitals))
     counts = count_rows(times, [CELL, SECONDS], COPIES)
     copies = F.min_by(COPIES, SECONDS) if ties == "all" else F.lit(1).cast("long")
     return counts.groupBy(CELL).agg(
@@ -136,6 +152,13 @@ def cell_units(
 def grid_cell_data(
     nearest: DataFrame, cells: DataFrame, admin_units: DataFrame
 ) -> DataFrame:
-    """Nearest rows with inhabitants and administrative units."""
+    """Nearest rows with inhabitants and administrative units.
+
+    Rows that still carry a count are written out after the join, which can
+    then use the order the nearest rows are in.
+    """
     units = cell_units(cells.select(CELL, PEOPLE, MUNICIPALITY), admin_units)
-    return nearest.join(units, CELL, "left")
+    rows = nearest.join(units, CELL, "left")
+    if COPIES in rows.columns:
+        rows = repeat_rows(rows, COPIES, "_copy").drop("_copy")
+    return rows

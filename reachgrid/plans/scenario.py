@@ -14,6 +14,7 @@ from reachgrid.operators.nearest import (
     cell_table,
     cell_units,
     grid_cell_data,
+    nearest_counted,
     nearest_hospitals,
     nearest_times,
 )
@@ -32,12 +33,10 @@ from reachgrid.schema import (
     CELL_COMBINED,
     CELL_MUNICIPALITY,
     CELL_PEOPLE,
-    HOSPITAL,
     LAYOUT_COMBINED,
     LAYOUT_SPLIT,
     LEVELS,
     MUNICIPALITY,
-    SECONDS,
     TRAVEL_TIMES,
     TRAVEL_TIMES_SUBSET,
     one_of,
@@ -90,9 +89,11 @@ def scenario_cells(
     tables: ScenarioTables, hospitals: DataFrame, ties: str = "all"
 ) -> DataFrame:
     """One row per cell and nearest hospital with all administrative columns."""
-    nearest = nearest_hospitals(tables.travel_times, hospitals, ties).select(
-        HOSPITAL, CELL, SECONDS
-    )
+    one_of(ties, ("all", "one"), "ties")
+    if ties == "all":
+        nearest = nearest_counted(tables.travel_times, hospitals)
+    else:
+        nearest = nearest_hospitals(tables.travel_times, hospitals, ties)
     return grid_cell_data(nearest, tables.cells, tables.admin_units)
 
 

@@ -93,17 +93,15 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def people_rows(m: Model) -> DataFrame:
-    """Every travel time with inhabitants and administrative units."""
-    units = cell_units(m.cells_combined, m.admin_units)
-    return m.travel_times.join(units, "Gitterzellen_ID", "left")
+def units(m: Model) -> DataFrame:
+    """Every cell with inhabitants and administrative units."""
+    return cell_units(m.cells_combined, m.admin_units)
 
 
 def counted_rows(m: Model) -> DataFrame:
-    """The same, with equal times of a cell counted before they are joined."""
-    units = cell_units(m.cells_combined, m.admin_units)
+    """Every travel time with its units, equal times of a cell counted before."""
     counted = count_rows(m.travel_times, ["Gitterzellen_ID", "Fahrzeit_Sekunden"], "n")
-    return counted.join(units, "Gitterzellen_ID", "left")
+    return counted.join(units(m), "Gitterzellen_ID", "left")
 
 
 # Sources and sinks
@@ -368,7 +366,7 @@ def nearest_single(m: Model) -> DataFrame:
 
 def closure_impact(m: Model) -> DataFrame:
     return analyses.schliessung_simulieren(
-        people_rows(m), m.closed, ["Kreis"], CLOSURE_KEYS
+        m.travel_times, m.closed, ["Kreis"], CLOSURE_KEYS, units(m)
     )
 
 
@@ -381,7 +379,7 @@ def isochrone(m: Model) -> DataFrame:
 
 
 def catchment(m: Model) -> DataFrame:
-    return analyses.einzugsgebiet(people_rows(m))
+    return analyses.einzugsgebiet(m.travel_times, units(m))
 
 
 def time_bands(m: Model) -> DataFrame:

@@ -52,26 +52,22 @@ def redundanz_analyse(data: DataFrame, n: int = 2) -> DataFrame:
     """The ``n`` nearest hospitals per cell, more where the last ones tie.
 
     Equal rows are counted first and written out again at the end, so a large
-    group of copies is never ranked row by row. The times of a cell are taken
-    in order until ``n`` rows are reached; at most ``n`` of them matter.
+    group of copies is never ranked row by row. A row with ``n`` others before
+    it is dropped in each task, ahead of the shuffle.
     """
     known = data.filter(F.col(SECONDS).isNotNull())
-    rows = count_rows(known, [CELL, HOSPITAL, SECONDS], "_copies")
     by_time = Window.partitionBy(CELL).orderBy(SECONDS)
-    before = by_time.rowsBetween(Window.unboundedPreceding, -1)
-    times = (
-        rows.groupBy(CELL, SECONDS)
-        .agg(F.sum("_copies").alias("_rows"))
-        .withColumn("_step", F.row_number().over(by_time))
-        .filter(F.col("_step") <= n)
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .filter(F.col("_before") < n)
-        .select(CELL, SECONDS, "_before")
-    )
-    tied = Window.partitionBy(CELL, SECONDS).orderBy(HOSPITAL)
-    offset = F.sum("_copies").over(tied.rowsBetween(Window.unboundedPreceding, -1))
-    kept = rows.join(times, [CELL, SECONDS]).withColumn(
-        "_before", F.col("_before") + F.coalesce(offset, F.lit(0))
+    in_order = Window.partitionBy(CELL).orderBy(SECONDS, HOSPITAL)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    tied = Window.partitionBy(CELL, SECONDS)
+    kept = (
+        count_rows(known, [CELL, HOSPITAL, SECONDS], "_copies")
+        .withColumn("_rank", F.rank().over(by_time))
+        .filter(F.col("_rank") <= n)
+        .withColumn("_before", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
+        .withColumn("_nearer", F.min("_before").over(tied))
+        .filter(F.col("_nearer") < n)
+        .drop("_rank", "_nearer")
     )
     return repeat_rows(kept, "_copies", "_copy").select(
         CELL, HOSPITAL, SECONDS, (F.col("_before") + F.col("_copy")).alias(RANK)
@@ -119,13 +115,15 @@ def fahrzeit_kategorien(
     return data.withColumn(BAND, band.when(time.isNotNull(), F.lit(labels[-1])))
 
 
-def zeitreihen_vergleich(datasets: dict[str, DataFrame], by: list[str]) -> DataFrame:
+def zeitreihen_vergleich(
+    datasets: dict[str, DataFrame], by: list[str], copies: str | None = None
+) -> DataFrame:
     """The same summary for several data sets, told apart by name."""
-    columns = [*by, CELL, SECONDS, PEOPLE]
+    columns = [*by, CELL, SECONDS, PEOPLE, *([copies] if copies else [])]
     tagged = [
         df.select(*dict.fromkeys(columns)).withColumn(TIME_POINT, F.lit(name))
         for name, df in datasets.items()
     ]
     return fahrzeit_zusammenfassung(
-        reduce(DataFrame.unionByName, tagged), [*by, TIME_POINT]
+        reduce(DataFrame.unionByName, tagged), [*by, TIME_POINT], copies=copies
     )

@@ -32,12 +32,12 @@ DEFAULT_KEYS = [
 
 
 def _suffixed(
-    reference: DataFrame, scenario: DataFrame, keys: list[str]
+    reference: DataFrame, scenario: DataFrame, keys: list[str], copies: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Both tables with shared columns that are no keys told apart by suffix."""
     require_columns(reference, [SECONDS, *keys])
     require_columns(scenario, [SECONDS, *keys])
-    shared = (set(reference.columns) & set(scenario.columns)) - set(keys)
+    shared = (set(reference.columns) & set(scenario.columns)) - {*keys, copies}
     return (
         reference.withColumnsRenamed({c: c + REFERENCE for c in shared}),
         scenario.withColumnsRenamed({c: c + SCENARIO for c in shared}),
@@ -80,33 +80,34 @@ def fahrzeit_differenz_zusammenfassung(
     scenario: DataFrame,
     by: list[str],
     keys: list[str] | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """Weighted mean change and people with longer times, per group.
 
     Rows that are equal in all that matters are counted on each side before
-    the join; matches multiply the counts instead of the rows.
+    the join; matches multiply the counts instead of the rows. ``copies`` names
+    a column of both tables with the number of rows each row stands for.
     """
     keys = keys or DEFAULT_KEYS
-    left, right = _suffixed(reference, scenario, keys)
+    left, right = _suffixed(reference, scenario, keys, copies)
 
-    def collapsed(side: DataFrame, copies: str) -> DataFrame:
+    def collapsed(side: DataFrame, name: str) -> DataFrame:
         wanted = {*keys, *by, PEOPLE, SECONDS + REFERENCE, SECONDS + SCENARIO}
         kept = [c for c in side.columns if c in wanted]
-        return count_rows(side, kept, copies)
+        return count_rows(side, kept, name, copies)
 
     joined = _with_difference(
         _null_safe_left_join(collapsed(left, "_left"), collapsed(right, "_right"), keys)
     )
     require_columns(joined, [PEOPLE, *by])
-    copies = F.col("_left") * F.coalesce(F.col("_right"), F.lit(1))
-    people = no_nan(joined, PEOPLE)
-    prepared = joined.withColumns({"_copies": copies, "_people": people})
-    people, copies = F.col("_people"), F.col("_copies")
-    everyone = total(people * copies)
-    worse = total(F.when(F.col(DIFFERENCE) > 0, people * copies))
+    pairs = F.col("_left") * F.coalesce(F.col("_right"), F.lit(1))
+    prepared = joined.withColumns({"_pairs": pairs, "_people": no_nan(joined, PEOPLE)})
+    people, pairs = F.col("_people"), F.col("_pairs")
+    everyone = total(people * pairs)
+    worse = total(F.when(F.col(DIFFERENCE) > 0, people * pairs))
     return prepared.groupBy(*by).agg(
         everyone.alias("Einwohner_Gesamt"),
-        weighted_mean(F.col(DIFFERENCE), people, copies).alias(
+        weighted_mean(F.col(DIFFERENCE), people, pairs).alias(
             "Mittlere_Gewichtete_Fahrzeit_Differenz"
         ),
         worse.alias("Anzahl_Betroffene"),

@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 CHUNK = 100_000
 
 
-def count_rows(df: DataFrame, by: list[str], name: str) -> DataFrame:
-    """Distinct rows with their number; equal rows meet on the map side."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+def count_rows(
+    df: DataFrame, by: list[str], name: str, copies: str | None = None
+) -> DataFrame:
+    """Distinct rows with their number; equal rows meet on the map side.
+
+    Rows that were counted before name their count in ``copies``.
+    """
+    number = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    return df.groupBy(*by).agg(number.alias(name))
 
 
 def repeat_rows(df: DataFrame, copies: str, number: str) -> DataFrame:

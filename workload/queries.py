@@ -29,6 +29,7 @@ from reachgrid.operators.filters import (
     unmatched_template_rows,
 )
 from reachgrid.operators.nearest import (
+    COPIES,
     cell_units,
     minimum_times,
     nearest_hospitals,
@@ -234,17 +235,24 @@ def coverage_filter(m: Model) -> DataFrame:
     return filter_by_coverage(scenario("Gemeinde", LAYOUT_SPLIT)(m), 90)
 
 
-def _compared(m: Model) -> tuple[DataFrame, DataFrame]:
+def _compared(m: Model, counted: bool) -> tuple[DataFrame, DataFrame]:
+    """Nearest rows with all hospitals, and with those of the scenario."""
     tables = m.tables()
-    return scenario_cells(tables, m.all_hospitals), scenario_cells(tables, m.scenario)
+    return (
+        scenario_cells(tables, m.all_hospitals, counted=counted),
+        scenario_cells(tables, m.scenario, counted=counted),
+    )
 
 
 def difference_cells_query(m: Model) -> DataFrame:
-    return difference_cells(*_compared(m))
+    return difference_cells(*_compared(m, counted=False))
 
 
 def difference_summary(m: Model) -> DataFrame:
-    return fahrzeit_differenz_zusammenfassung(*_compared(m), by=["Kreis_ID", "Kreis"])
+    reference, changed = _compared(m, counted=True)
+    return fahrzeit_differenz_zusammenfassung(
+        reference, changed, ["Kreis_ID", "Kreis"], copies=COPIES
+    )
 
 
 # Quality
@@ -387,9 +395,9 @@ def time_bands(m: Model) -> DataFrame:
 
 
 def snapshot_comparison(m: Model) -> DataFrame:
-    reference, changed = _compared(m)
+    reference, changed = _compared(m, counted=True)
     return analyses.zeitreihen_vergleich(
-        {"2020": reference, "2024": changed}, ["Bundesland"]
+        {"2020": reference, "2024": changed}, ["Bundesland"], COPIES
     )
 
 

@@ -18,7 +18,6 @@ from reachgrid.operators.nearest import (
     nearest_hospitals,
     nearest_times,
 )
-from reachgrid.operators.rows import repeat_rows
 from reachgrid.operators.summary import (
     CELLS_INHABITED,
     CELLS_REACHED,
@@ -94,18 +93,12 @@ def scenario_cells(
 ) -> DataFrame:
     """One row per cell and nearest hospital with all administrative columns.
 
-    ``counted`` leaves equal rows together with their number, for a summary
-    that takes it. Otherwise they are written out after the join, which can
-    use the order the nearest rows are in.
+    ``counted`` keeps equal rows together with their number, for a summary
+    that takes it.
     """
-    one_of(ties, ("all", "one"), "ties")
-    if ties == "all":
-        nearest = nearest_counted(tables.travel_times, hospitals)
-    else:
-        nearest = nearest_hospitals(tables.travel_times, hospitals, ties)
-        nearest = nearest.withColumn(COPIES, F.lit(1).cast("long"))
-    rows = grid_cell_data(nearest, tables.cells, tables.admin_units)
-    return rows if counted else repeat_rows(rows, COPIES, "_copy").drop("_copy")
+    find = nearest_counted if counted else nearest_hospitals
+    nearest = find(tables.travel_times, hospitals, ties)
+    return grid_cell_data(nearest, tables.cells, tables.admin_units)
 
 
 def scenario_summary(

@@ -44,7 +44,6 @@ from reachgrid.operators.publish import (
     join_properties_to_polygons,
 )
 from reachgrid.operators.quality import duplicate_keys, table_counts
-from reachgrid.operators.rows import count_rows
 from reachgrid.operators.summary import (
     compute_percentage_covered,
     fahrzeit_zusammenfassung,
@@ -99,10 +98,9 @@ def units(m: Model) -> DataFrame:
     return cell_units(m.cells_combined, m.admin_units)
 
 
-def counted_rows(m: Model) -> DataFrame:
-    """Every travel time with its units, equal times of a cell counted before."""
-    counted = count_rows(m.travel_times, ["Gitterzellen_ID", "Fahrzeit_Sekunden"], "n")
-    return counted.join(units(m), "Gitterzellen_ID", "left")
+def people_rows(m: Model) -> DataFrame:
+    """Every travel time with inhabitants and administrative units."""
+    return m.travel_times.join(units(m), "Gitterzellen_ID", "left")
 
 
 # Sources and sinks
@@ -202,17 +200,17 @@ def grid_cell_data_query(layout: str):
 
 
 def travel_time_summary(m: Model) -> DataFrame:
-    return fahrzeit_zusammenfassung(counted_rows(m), ["Kreis_ID", "Kreis"], copies="n")
+    return fahrzeit_zusammenfassung(people_rows(m), ["Kreis_ID", "Kreis"])
 
 
 def multi_threshold(m: Model) -> DataFrame:
     return fahrzeit_zusammenfassung(
-        counted_rows(m), ["Kreis_ID", "Kreis"], [15, 30, None, 45, 30], copies="n"
+        people_rows(m), ["Kreis_ID", "Kreis"], [15, 30, None, 45, 30]
     )
 
 
 def affected_population(m: Model) -> DataFrame:
-    return summarise_threshold(counted_rows(m), ["Gemeindeschluessel"], 25, copies="n")
+    return summarise_threshold(people_rows(m), ["Gemeindeschluessel"], 25)
 
 
 def inhabited(m: Model) -> DataFrame:

@@ -51,25 +51,30 @@ def schliessung_simulieren(
 def redundanz_analyse(data: DataFrame, n: int = 2) -> DataFrame:
     """The ``n`` nearest hospitals per cell, more where the last ones tie.
 
-    Equal rows are counted first and written out again at the end, so a large
-    group of copies is never ranked row by row. A row with ``n`` others before
-    it is dropped in each task, ahead of the shuffle.
+    The first ``n`` times of a cell are found without their ties, of which a
+    task keeps no more than ``n``. All rows with these times are then counted,
+    ranked by their counts and written out again, so that a large group of
+    copies is never ranked row by row.
     """
-    known = data.filter(F.col(SECONDS).isNotNull())
-    by_time = Window.partitionBy(CELL).orderBy(SECONDS)
+    known = data.select(CELL, HOSPITAL, SECONDS).filter(F.col(SECONDS).isNotNull())
+    times = (
+        known.select(F.col(CELL).alias("_cell"), F.col(SECONDS).alias("_seconds"))
+        .withColumn(
+            "_row",
+            F.row_number().over(Window.partitionBy("_cell").orderBy("_seconds")),
+        )
+        .filter(F.col("_row") <= n)
+        .select("_cell", "_seconds")
+        .distinct()
+    )
+    same = F.col(CELL).eqNullSafe(F.col("_cell")) & (F.col(SECONDS) == F.col("_seconds"))
+    kept = known.join(times, same, "left_semi")
     in_order = Window.partitionBy(CELL).orderBy(SECONDS, HOSPITAL)
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    tied = Window.partitionBy(CELL, SECONDS)
-    kept = (
-        count_rows(known, [CELL, HOSPITAL, SECONDS], "_copies")
-        .withColumn("_rank", F.rank().over(by_time))
-        .filter(F.col("_rank") <= n)
-        .withColumn("_before", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
-        .withColumn("_nearer", F.min("_before").over(tied))
-        .filter(F.col("_nearer") < n)
-        .drop("_rank", "_nearer")
+    before = F.sum("_copies").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    counted = count_rows(kept, [CELL, HOSPITAL, SECONDS], "_copies").withColumn(
+        "_before", F.coalesce(before, F.lit(0))
     )
-    return repeat_rows(kept, "_copies", "_copy").select(
+    return repeat_rows(counted, "_copies", "_copy").select(
         CELL, HOSPITAL, SECONDS, (F.col("_before") + F.col("_copy")).alias(RANK)
     )
 

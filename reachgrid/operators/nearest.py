@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachgrid.operators.rows import count_rows
 from reachgrid.schema import (
     ADMIN_COLUMNS,
     CELL,
@@ -65,9 +64,15 @@ def nearest_hospitals(
 def nearest_counted(
     travel_times: DataFrame, hospitals: DataFrame, ties: str = "all"
 ) -> DataFrame:
-    """The nearest hospitals with equal rows counted."""
+    """The nearest hospitals with equal rows counted.
+
+    The time of a cell is one, so it need not be part of the key; without it
+    the join before stays free to split the rows of a large cell.
+    """
     nearest = nearest_hospitals(travel_times, hospitals, ties)
-    return count_rows(nearest, [HOSPITAL, CELL, SECONDS], COPIES)
+    return nearest.groupBy(HOSPITAL, CELL).agg(
+        F.min(SECONDS).alias(SECONDS), F.count(F.lit(1)).alias(COPIES)
+    )
 
 
 def nearest_single(times: DataFrame, by: str = CELL) -> DataFrame:
@@ -92,11 +97,14 @@ def nearest_times(
 ) -> DataFrame:
     """Shortest known time per cell with the number of hospitals that share it.
 
-    This is all a summary needs of ``nearest_hospitals``.
+    This is all a summary needs of ``nearest_hospitals``. It leaves the cells
+    where the next join, with their units, wants them.
     """
     nearest = nearest_hospitals(travel_times, hospitals, ties)
     known = nearest.filter(F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull())
-    return count_rows(known, [CELL, SECONDS], COPIES)
+    return known.groupBy(CELL).agg(
+        F.min(SECONDS).alias(SECONDS), F.count(F.lit(1)).alias(COPIES)
+    )
 
 
 def cell_table(

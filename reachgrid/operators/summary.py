@@ -63,13 +63,16 @@ def affected(threshold: float) -> Column:
 
 def _threshold_columns(thresholds: list[float]) -> list[Column]:
     people = total(F.col(_PEOPLE) * F.col(_COPIES))
-    suffixes = [f"_{t:g}min" for t in thresholds] if len(thresholds) > 1 else [""]
-    counts = [
-        affected(t).alias(f"Anzahl_Betroffene{s}") for t, s in zip(thresholds, suffixes)
-    ]
+    return _affected_columns({t: affected(t) for t in thresholds}, people)
+
+
+def _affected_columns(beyond: dict[float, Column], people: Column) -> list[Column]:
+    """All counts, then all shares; named by threshold if there are several."""
+    suffix = {t: f"_{t:g}min" if len(beyond) > 1 else "" for t in beyond}
+    counts = [c.alias(f"Anzahl_Betroffene{suffix[t]}") for t, c in beyond.items()]
     shares = [
-        percent(affected(t), people).alias(f"Prozent_Betroffene{s}")
-        for t, s in zip(thresholds, suffixes)
+        percent(c, people).alias(f"Prozent_Betroffene{suffix[t]}")
+        for t, c in beyond.items()
     ]
     return counts + shares
 
@@ -118,6 +121,45 @@ def fahrzeit_zusammenfassung(
     return prepared.groupBy(*by).agg(*summary_columns(thresholds))
 
 
+def summarise_times(
+    travel_times: DataFrame,
+    units: DataFrame,
+    by: list[str],
+    grenzwert_minuten: float | Iterable[float | None] | None = None,
+) -> DataFrame:
+    """``fahrzeit_zusammenfassung`` of a long list of times and its cells.
+
+    The times are reduced to one row per cell first, which happens on the map
+    side for the most part. Inhabitants and units join these rows, so neither
+    the whole list nor a large cell is ever the side of a join.
+    """
+    require_columns(travel_times, [CELL, SECONDS])
+    require_columns(units, [CELL, PEOPLE, *by])
+    thresholds = clean_thresholds(grenzwert_minuten)
+    time = minutes(no_nan(travel_times, SECONDS))
+    names = {t: f"_beyond_{i}" for i, t in enumerate(thresholds)}
+    cells = travel_times.groupBy(CELL).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(time).alias("_known"),
+        F.sum(time).alias("_sum"),
+        *(F.count_if(time > F.lit(float(t))).alias(n) for t, n in names.items()),
+    )
+    joined = cells.join(units, CELL, "left").withColumn(_PEOPLE, no_nan(units, PEOPLE))
+    people = F.col(_PEOPLE)
+    everyone = total(people * F.col("_rows"))
+    # The mean of the cell means, each weighted with its people and its times.
+    mean = F.try_divide(F.col("_sum"), F.col("_known"))
+    beyond = {t: total(people * F.col(n)) for t, n in names.items()}
+    return joined.groupBy(*by).agg(
+        everyone.alias("Einwohner_Gesamt"),
+        weighted_mean(mean, people, F.col("_known")).alias(
+            "Mittlere_Gewichtete_Fahrzeit"
+        ),
+        count_values(F.col(CELL)).alias(CELLS_REACHED),
+        *_affected_columns(beyond, everyone),
+    )
+
+
 def level_of(verwaltungsebene: str) -> Level:
     return LEVELS[one_of(verwaltungsebene, LEVELS, "Verwaltungsebene")]
 

@@ -9,6 +9,7 @@ from reachgrid.operators.summary import (
     filter_by_coverage,
     inhabited_cells,
     summarise_threshold,
+    summarise_times,
 )
 
 SCHEMA = (
@@ -145,6 +146,34 @@ def test_copies_stand_for_rows(spark):
     assert counted == repeated
 
 
+def test_summary_of_times_equals_summary_of_rows(spark):
+    """Copies, unknown times and people, unmapped cells, one heavy cell."""
+    times = spark.range(900).select(
+        F.when(F.col("id") < 300, "heavy")
+        .otherwise(F.concat(F.lit("G"), (F.col("id") % 23).cast("string")))
+        .alias("Gitterzellen_ID"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 50 * 60.0).alias("Fahrzeit_Sekunden"),
+    )
+    units = times.select("Gitterzellen_ID").distinct().select(
+        "Gitterzellen_ID",
+        F.when(F.col("Gitterzellen_ID") == "G3", None).otherwise(7).alias("Einwohner"),
+        F.substring("Gitterzellen_ID", 2, 1).alias("Kreis"),
+    ).filter("Gitterzellen_ID <> 'G5'")
+    rows = times.join(units, "Gitterzellen_ID", "left")
+    for thresholds in (None, 20, [10, 20, None]):
+        expected = fahrzeit_zusammenfassung(rows, ["Kreis"], thresholds)
+        found = summarise_times(times, units, ["Kreis"], thresholds)
+        assert found.columns == expected.columns
+        by_unit = {r.Kreis: r.asDict() for r in expected.collect()}
+        assert by_unit.keys() == {r.Kreis for r in found.collect()}
+        for row in found.collect():
+            want = by_unit[row.Kreis]
+            got = row.asDict()
+            for name, value in want.items():
+                exact = value is None or isinstance(value, str)
+                assert got[name] == (value if exact else pytest.approx(value)), name
+
+
 def test_threshold_summary_names_its_threshold(spark):
     row = one(summarise_threshold(spark.createDataFrame(THREE, SCHEMA), ["Gemeinde"], 25))
     assert (row.Anzahl_Betroffene, row.Schwellenwert) == (350, 25.0)

@@ -46,10 +46,10 @@ from reachgrid.operators.publish import (
 from reachgrid.operators.quality import duplicate_keys, table_counts
 from reachgrid.operators.summary import (
     compute_percentage_covered,
-    fahrzeit_zusammenfassung,
     filter_by_coverage,
     inhabited_cells,
     summarise_threshold,
+    summarise_times,
 )
 from reachgrid.plans.publish import (
     assemble_feature_collection,
@@ -200,12 +200,12 @@ def grid_cell_data_query(layout: str):
 
 
 def travel_time_summary(m: Model) -> DataFrame:
-    return fahrzeit_zusammenfassung(people_rows(m), ["Kreis_ID", "Kreis"])
+    return summarise_times(m.travel_times, units(m), ["Kreis_ID", "Kreis"])
 
 
 def multi_threshold(m: Model) -> DataFrame:
-    return fahrzeit_zusammenfassung(
-        people_rows(m), ["Kreis_ID", "Kreis"], [15, 30, None, 45, 30]
+    return summarise_times(
+        m.travel_times, units(m), ["Kreis_ID", "Kreis"], [15, 30, None, 45, 30]
     )
 
 

@@ -7,7 +7,6 @@ functions cannot do; it runs in Arrow batches.
 
 from __future__ import annotations
 
-import math
 import struct
 
 import numpy as np
@@ -218,7 +217,3 @@ def square_wkb(x: Column, y: Column, side: float = 1.0) -> Column:
         return pd.Series([row.tobytes() for row in rows])
 
     return build(x, y)
-
-
-def is_finite_box(box: tuple) -> bool:
-    return all(v is not None and math.isfinite(v) for v in box)

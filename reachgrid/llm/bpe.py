@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -156,7 +157,7 @@ def rank_units(path: str, pattern: str) -> UnitEncoder:
                 ids: list[int] = []
                 for piece in pieces.findall(unit):
                     ids += encoder.encode(piece.encode())
-                values.append(np.array(ids, "<i4").tobytes())
+                values.append(array("i", ids).tobytes())
             return values
 
         return UnitEncoder(encode_units, keep_space=True)

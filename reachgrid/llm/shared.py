@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -17,7 +18,7 @@ from reachgrid.session import scratch
 CHUNK_CHARS = 1_000_000
 
 #: Units a worker remembers; further ones are encoded again where they occur.
-CACHED_UNITS = 400_000
+CACHED_UNITS = 600_000
 
 #: Longer units are encoded, but not remembered.
 CACHED_UNIT_CHARS = 64
@@ -80,39 +81,48 @@ class UnitEncoder:
         """Per text, the values of its units."""
         for chunk in chunks_of(texts):
             cut = [self.units(text) for text in chunk]
-            found = self.look_up({u for units in cut for u in units[self.keep_space :]})
+            with_space = [units[self.keep_space :] for units in cut]
+            extra = self.learn(set(chain.from_iterable(with_space)))
+            get = self.known.__getitem__
             if self.keep_space:
                 first = self.encode_units([units[0] for units in cut])
-                for units, value in zip(cut, first):
-                    yield [value, *map(found.__getitem__, units[1:])]
+                found = [[value, *map(get, units)] for units, value in zip(with_space, first)]
             else:
-                for units in cut:
-                    yield list(map(found.__getitem__, units))
-
-    def look_up(self, units: set[str]) -> dict[str, bytes]:
-        known = self.known
-        new = [u for u in units if u not in known]
-        if not new:
-            return known
+                found = [list(map(get, units)) for units in with_space]
+            for unit in extra:
+                del self.known[unit]
+            yield from found
+
+    def learn(self, units: set[str]) -> list[str]:
+        """Encode the units not known yet; returns those not to be remembered."""
+        new = list(units.difference(self.known))
         lead = " " if self.keep_space else ""
-        values = self.encode_units([lead + u for u in new])
-        if len(known) + len(new) <= CACHED_UNITS and all(
-            len(u) <= CACHED_UNIT_CHARS for u in new
-        ):
-            known.update(zip(new, values))
-            return known
-        found = {u: known[u] for u in units if u in known}
-        found.update(zip(new, values))
-        for unit, value in zip(new, values):
-            if len(known) >= CACHED_UNITS:
-                break
-            if len(unit) <= CACHED_UNIT_CHARS:
-                known[unit] = value
-        return found
+        room = CACHED_UNITS - len(self.known)
+        self.known.update(zip(new, self.encode_units([lead + u for u in new])))
+        return new[max(room, 0) :] + [u for u in new[:room] if len(u) > CACHED_UNIT_CHARS]
+
+
+#: A word of Latin letters, perhaps after a space, with punctuation after it.
+PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
+def byte_letters() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies:
+    printable bytes for themselves, the others in order from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table = {b: chr(b) for b in own}
+    others = (b for b in range(256) if b not in table)
+    table.update((b, chr(256 + n)) for n, b in enumerate(others))
+    return [table[b] for b in range(256)]
 
 
 def library_units(path: str, keep_space: bool) -> UnitEncoder:
-    """Units encoded by the tokenizers library, as little-endian unsigned 32-bit ids."""
+    """Units encoded by the tokenizers library, as little-endian unsigned 32-bit ids.
+
+    With ``keep_space`` for byte-level vocabularies, else for those that lower-case
+    and drop white space. Plain words go to the library's model at once, spelled as
+    the vocabulary spells bytes; its own steps give the same, but take longer.
+    """
 
     def build() -> UnitEncoder:
         import os
@@ -124,9 +134,34 @@ def library_units(path: str, keep_space: bool) -> UnitEncoder:
         # the strings of special tokens are ordinary text here
         tokenizer.encode_special_tokens = True
 
+        model, letters = tokenizer.model, byte_letters()
+        ends: dict[str, bytes] = {}
+
+        def piece(text: str) -> bytes:
+            spelled = text if text.isascii() and " " not in text else ""
+            spelled = spelled or "".join(map(letters.__getitem__, text.encode()))
+            return array("I", [token.id for token in model.tokenize(spelled)]).tobytes()
+
         def encode_units(units: list[str]) -> list[bytes]:
-            encoded = tokenizer.encode_batch_fast(units, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+            values: list = [None] * len(units)
+            rest = []
+            for at, unit in enumerate(units):
+                plain = PLAIN.fullmatch(unit)
+                if plain is None:
+                    rest.append(at)
+                    continue
+                # both split patterns cut such a unit before its punctuation
+                lead, word, end = plain.groups()
+                value = piece(lead + word if keep_space else word.lower())
+                if end:
+                    if end not in ends:
+                        ends[end] = piece(end)
+                    value += ends[end]
+                values[at] = value
+            encoded = tokenizer.encode_batch_fast([units[i] for i in rest], add_special_tokens=False)
+            for at, found in zip(rest, encoded):
+                values[at] = array("I", found.ids).tobytes()
+            return values
 
         return UnitEncoder(encode_units, keep_space)
 

@@ -50,15 +50,18 @@ def nearest_hospitals(
     ``"all"`` takes the minima, which shrink on the map side, and keeps the
     times equal to them. Cell and time are both join keys: the rows of a large
     cell are spread by their times, and the ones tied for it stand on the side
-    of the join that may be split between tasks. ``"one"`` takes the smallest
-    hospital number and keeps a cell without any known time.
+    of the join that may be split between tasks. Minima are unique per cell, so
+    an inner join keeps the same rows as a semi join, which the optimizer would
+    move below the join with the hospitals, and so shuffle all travel times.
+    ``"one"`` takes the smallest hospital number. A cell without any known time
+    has no nearest hospital.
     """
     one_of(ties, ("all", "one"), "ties")
     times = scenario_times(travel_times, hospitals)
     if ties == "one":
-        return nearest_single(times)
+        return nearest_single(times.filter(F.col(SECONDS).isNotNull()))
     best = minimum_times(times).withColumnRenamed("min_fahrzeit", SECONDS)
-    return times.join(best, [CELL, SECONDS], "left_semi")
+    return times.join(best, [CELL, SECONDS]).select(*times.columns)
 
 
 def nearest_counted(

@@ -64,6 +64,34 @@ def test_one_hospital_per_cell_on_request(spark):
         nearest_hospitals(fact(spark, data), hospitals(spark, "a"), ties="some")
 
 
+def test_either_way_the_same_cells_are_reached(spark):
+    data = [("1", "a", 60), ("1", "b", 60), ("2", "a", None), ("3", "b", 5)]
+    found = {
+        ties: {
+            r.Gitterzellen_ID
+            for r in nearest_hospitals(fact(spark, data), hospitals(spark, "a", "b"), ties).collect()
+        }
+        for ties in ("all", "one")
+    }
+    assert found["one"] == found["all"] == {"1", "3"}
+
+
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+def test_hospitals_are_joined_before_the_times_are_shuffled(spark, limit):
+    """In the optimized plan the join with the minima is the outer one."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        data = [("1", "a", 60), ("1", "b", 90)]
+        df = nearest_hospitals(fact(spark, data), hospitals(spark, "a"))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "LeftSemi" not in plan
+    assert "Fahrzeit_Sekunden" in joins[0] and "Krankenhaus_Standortnummer" in joins[1]
+
+
 def test_minimum_of_unknown_times_is_unknown(spark):
     df = minimum_times(fact(spark, [("1", "a", None), ("2", "a", 5), ("2", "b", 4)]))
     assert {r[0]: r[1] for r in df.collect()} == {"1": None, "2": 4}

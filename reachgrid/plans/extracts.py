@@ -2,7 +2,8 @@
 
 A run writes a Parquet snapshot: the selected travel times, the filter list
 that selected them and the supporting tables. Running it again overwrites what
-it computes, so an extract never mixes two lists.
+it computes, so an extract never mixes two lists. An extract into the folder it
+reads leaves the tables there as they are.
 """
 
 from __future__ import annotations
@@ -39,7 +40,10 @@ from reachgrid.sources.lists import (
     read_municipality_list,
     read_template,
 )
-from reachgrid.sources.tables import Snapshot, Source
+from reachgrid.sources.tables import Snapshot, Source, qualified
+
+# Tables that an extract computes from.
+INPUT_TABLES = (ADMIN_UNITS, CELL_MUNICIPALITY, CELL_PEOPLE, TRAVEL_TIMES, *SUPPORT_TABLES)
 
 
 @dataclass(frozen=True)
@@ -63,6 +67,23 @@ def preprocess_geofilter_list(
     return matched, unmatched_template_rows(template, units)
 
 
+def _in_place(spark: SparkSession, source: Source, output_dir: str) -> bool:
+    """Whether an extract goes into the folder that it reads."""
+    return isinstance(source, Snapshot) and qualified(spark, source.path) == qualified(
+        spark, output_dir
+    )
+
+
+def _keep_inputs(
+    spark: SparkSession, source: Source, output_dir: str, computed: Iterable[str]
+) -> None:
+    """Raise, before anything is written, if a computed table would replace an input."""
+    if _in_place(spark, source, output_dir):
+        lost = sorted({*computed} & {*INPUT_TABLES})
+        if lost:
+            raise ValueError(f"The extract would overwrite its input: {', '.join(lost)}")
+
+
 def _write_filter(
     spark: SparkSession, keys: DataFrame, output_dir: str, name: str, compression: str
 ) -> tuple[str, DataFrame]:
@@ -85,8 +106,13 @@ def _write_extract(
     chunk_size: int,
     large_tables: Iterable[str],
 ) -> Extract:
-    tables = {**selected, **{n: source.table(spark, n) for n in support}}
-    written = filters | export_all_tables(
+    support = list(support)
+    kept = {}
+    if _in_place(spark, source, output_dir):
+        # the tables are there already, and would be read while they are replaced
+        kept = {n: source.folder(spark, n) for n in support}
+    tables = {**selected, **{n: source.table(spark, n) for n in support if n not in kept}}
+    written = filters | kept | export_all_tables(
         tables,
         output_dir,
         large_tables=large_tables,
@@ -116,6 +142,7 @@ def run_geofilter(
     chunk_size: int = CHUNK_ROWS,
 ) -> Extract:
     """Travel times from the inhabited cells of the listed municipalities."""
+    _keep_inputs(spark, source, output_dir, [filter_table_name, target_table_name])
     municipalities = read_municipality_list(spark, municipality_csv)
     cells = geofilter_cells(
         municipalities,
@@ -171,6 +198,7 @@ def klinikfilter(
     dedupe_keys: bool = False,
 ) -> Extract:
     """Travel times to the listed hospitals."""
+    _keep_inputs(spark, source, output_dir, [filter_table_name, target_table_name])
     hospitals = read_hospital_list(spark, hospital_csv).select(HOSPITAL)
     path, hospitals = _write_filter(
         spark, hospitals, output_dir, filter_table_name, compression

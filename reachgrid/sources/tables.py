@@ -27,6 +27,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in target.getFileSystem(conf).listStatus(target))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full form of a path, with its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return target.getFileSystem(conf).makeQualified(target).toString().rstrip("/")
+
+
 def require_file_exists(spark: SparkSession, path: str) -> None:
     if not path_exists(spark, path):
         raise FileNotFoundError(f"File not found: {path}")
@@ -49,11 +56,14 @@ class Snapshot:
                 return full
         return None
 
-    def table(self, spark: SparkSession, name: str) -> DataFrame:
-        folder = self._folder(spark, name)
-        if folder is None:
+    def folder(self, spark: SparkSession, name: str) -> str:
+        found = self._folder(spark, name)
+        if found is None:
             raise FileNotFoundError(f"File not found: {self.path}/{name}.parquet")
-        return spark.read.parquet(folder)
+        return found
+
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.parquet(self.folder(spark, name))
 
     def tables(self, spark: SparkSession) -> list[str]:
         require_file_exists(spark, self.path)

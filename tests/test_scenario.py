@@ -229,3 +229,17 @@ def test_complete_export(spark, snapshot, tmp_path):
         n: snapshot.table(spark, n).count() for n in snapshot.tables(spark)
     }
     assert Snapshot(extract.output_dir).tables(spark) == snapshot.tables(spark)
+
+
+def test_extracts_into_their_source_keep_its_tables(spark, snapshot, tmp_path, hospitals_csv):
+    root = str(tmp_path / "own")
+    komplettexport(spark, snapshot, root)
+    own = Snapshot(root)
+    before = {n: own.table(spark, n).count() for n in own.tables(spark)}
+    assert counts(komplettexport(spark, own, f"{root}/")) == before
+    extract = klinikfilter(spark, hospitals_csv, own, root, tables_to_copy=list(before)[:2])
+    assert counts(extract)["Entfernungsdaten_subset"] == 8
+    assert {n: own.table(spark, n).count() for n in before} == before
+    with pytest.raises(ValueError, match="overwrite its input"):
+        klinikfilter(spark, hospitals_csv, own, root, target_table_name="Entfernungsdaten")
+    assert {n: own.table(spark, n).count() for n in before} == before

@@ -150,9 +150,22 @@ def read_wkb(data: bytes) -> tuple[str, list]:
     return _Reader(bytes(data)).geometry()
 
 
+def finite(name: str, shape) -> bool:
+    """Whether all coordinates are numbers; an empty point, all NaN, is none."""
+    if name == "Point":
+        return bool(np.isfinite(shape).all() or np.isnan(shape).all())
+    if name == "LineString":
+        return bool(np.isfinite(shape).all())
+    if name == "Polygon":
+        return all(np.isfinite(ring).all() for ring in shape)
+    return all(finite(n, s) for n, s in shape)
+
+
 def _checked(data: bytes):
     name, shape = read_wkb(data)
     box = bounds(shape)
+    if not finite(name, shape):
+        raise ValueError("Coordinates hold NaN or infinite values")
     if box and (max(-box[0], box[2]) > LON_LIMIT or max(-box[1], box[3]) > LAT_LIMIT):
         raise ValueError(f"Coordinates are not longitude and latitude: {box}")
     return name, shape

@@ -46,6 +46,10 @@ def format_ewz(value: Column) -> Column:
     return F.coalesce(text, F.lit(NO_DATA))
 
 
+# Counts of people, whole in any column type unless they were estimated.
+PEOPLE_COUNTS = ("Einwohner_Gesamt", "Anzahl_Betroffene")
+
+
 def _formatted(
     df: DataFrame, name: str, digits: int, big_mark: str, decimal_mark: str, number: Column
 ) -> Column:
@@ -53,6 +57,9 @@ def _formatted(
         return F.col(f"`{name}`").cast("string")
     whole = isinstance(df.schema[name].dataType, T.IntegralType)
     text = _grouped(number, 0 if whole else digits, big_mark, decimal_mark)
+    if name in PEOPLE_COUNTS and not whole:
+        people = _grouped(number, 0, big_mark, decimal_mark)
+        text = F.when(number == F.floor(number), people).otherwise(text)
     return F.coalesce(text, F.lit("NA"))
 
 
@@ -65,8 +72,8 @@ def format_label_columns(
 ) -> DataFrame:
     """Add ``<column>_formatted`` for every listed column the table has.
 
-    Integer columns show no decimals, floating columns ``digits`` of them and
-    a missing number ``NA``. Each row is formatted on its own, without padding.
+    Integer columns and whole counts of people show no decimals, other floating
+    values ``digits`` of them and a missing number ``NA``. Each row is formatted on its own, without padding.
     """
     added = {
         f"{c}_formatted": _formatted(

@@ -98,8 +98,7 @@ def _prepare(template: DataFrame) -> tuple[DataFrame, list[str]]:
             "Template must have at least one of the columns: "
             + ", ".join(TEMPLATE_COLUMNS)
         )
-    if LINE_NUMBER not in template.columns:
-        template = template.withColumn(LINE_NUMBER, F.lit(1))
+    require_columns(template, [LINE_NUMBER])
     return template.withColumn(_MASK, _mask(columns)), columns
 
 

@@ -60,10 +60,12 @@ def test_a_missing_value_of_a_unit_matches_only_wildcards(spark):
 
 
 def test_template_with_one_column(spark):
-    df = spark.createDataFrame([("Kreis 2",), ("nirgends",)], "Kreis string")
+    df = spark.createDataFrame([(1, "Kreis 2"), (2, "nirgends")], "Zeile long, Kreis string")
     assert [r.Gemeindeschluessel for r in match_template(df, units(spark)).collect()] == ["3"]
     with pytest.raises(ValueError, match="at least one"):
         match_template(spark.createDataFrame([("x",)], "Ort string"), units(spark))
+    with pytest.raises(ValueError, match="Zeile"):
+        match_template(df.drop("Zeile"), units(spark))
 
 
 def test_repeated_key_keeps_the_unit_of_the_earliest_row(spark):

@@ -86,6 +86,8 @@ def test_geojson_of_every_type(spark):
 
 def test_empty_point_and_height(spark):
     nan = float("nan")
+    with pytest.raises(Exception, match="NaN"):
+        convert(spark, point(nan, 5))
     height = struct.pack("<BI3d", 1, 1001, 1, 2, 3)
     assert convert(spark, point(nan, nan), height, many(4, [])) == [
         {"type": "Point", "coordinates": []},

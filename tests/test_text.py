@@ -112,6 +112,19 @@ def test_labels(spark, label, value, caption):
     assert label(short.limit(0), "Gemeindename").count() == 0
 
 
+@pytest.mark.parametrize("people, shown", [(300.0, "300"), (1300.0, "1 300"), (2.5, "2,5")])
+def test_whole_counts_of_people_show_no_decimals(spark, people, shown):
+    schema = (
+        "Gemeindename string, Mittlere_Gewichtete_Fahrzeit double, Einwohner_Gesamt double, "
+        "Anzahl_Betroffene double, Prozent_Betroffene double"
+    )
+    df = spark.createDataFrame([("Ort", 20.0, people, 200.0, 50.0)], schema)
+    assert create_polygon_label(df, "Gemeindename").collect()[0].label == (
+        f"<strong>Ort</strong><br/>Fahrzeit in min: 20,0<br/>Einwohner:innen: {shown}"
+        "<br/>Betroffene Einwohner:innen: 200<br/>Prozent Betroffene: 50,0%"
+    )
+
+
 def test_several_thresholds_give_the_short_label(spark):
     df = spark.createDataFrame(
         [("Ort", 1.0, 2, 3)],

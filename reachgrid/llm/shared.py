@@ -18,7 +18,7 @@ from reachgrid.session import scratch
 CHUNK_CHARS = 1_000_000
 
 #: Units a worker remembers; further ones are encoded again where they occur.
-CACHED_UNITS = 600_000
+CACHED_UNITS = 1_000_000
 
 #: Longer units are encoded, but not remembered.
 CACHED_UNIT_CHARS = 64
@@ -137,9 +137,12 @@ def library_units(path: str, keep_space: bool) -> UnitEncoder:
         model, letters = tokenizer.model, byte_letters()
         ends: dict[str, bytes] = {}
 
-        def piece(text: str) -> bytes:
-            spelled = text if text.isascii() and " " not in text else ""
-            spelled = spelled or "".join(map(letters.__getitem__, text.encode()))
+        space = letters[32] if keep_space else ""
+
+        def piece(text: str, lead: str = "") -> bytes:
+            spelled = text if text.isascii() else "".join(map(letters.__getitem__, text.encode()))
+            if lead:
+                spelled = space + spelled
             return array("I", [token.id for token in model.tokenize(spelled)]).tobytes()
 
         def encode_units(units: list[str]) -> list[bytes]:
@@ -152,7 +155,7 @@ def library_units(path: str, keep_space: bool) -> UnitEncoder:
                     continue
                 # both split patterns cut such a unit before its punctuation
                 lead, word, end = plain.groups()
-                value = piece(lead + word if keep_space else word.lower())
+                value = piece(word, lead) if keep_space else piece(word.lower())
                 if end:
                     if end not in ends:
                         ends[end] = piece(end)

@@ -29,7 +29,7 @@ TAIL = "<QQ"
 
 #: The dictionary is trained on so many documents of at most so many characters,
 #: those with the smallest hashes: only compression depends on it.
-SAMPLE = 512
+SAMPLE = 128
 SAMPLE_CHARS = 4_000
 DICTIONARY_BYTES = 64 * 1024
 
@@ -66,7 +66,7 @@ class Shard:
         self.stream = create(self.uri)
         self.stream.write(MAGIC + hashlib.sha256(dictionary).digest())
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        self.compressor = zstandard.ZstdCompressor(level=3, dict_data=shared)
+        self.compressor = zstandard.ZstdCompressor(level=1, dict_data=shared)
         self.keys: list = []
         self.starts, self.ends = [0], [HEAD]
 

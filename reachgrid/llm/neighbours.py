@@ -18,7 +18,7 @@ BLOCK = 4096
 QUERIES = 2048
 
 #: Share of a block's rows that a query ascends to; documented recall in README.
-SHARE = 0.3
+SHARE = 0.45
 
 BLOCK_SCHEMA = "dim int, block string, n int, ids binary, vectors binary"
 RESULT_SCHEMA = "query_id long, rank int, vec_id long, score double"

@@ -1,0 +1,88 @@
+import random
+
+import xxhash
+
+from reachgrid.llm import simhash
+from reachgrid.llm.components import components
+
+from .cases import awkward, frame, plain, words
+
+
+def brute_fingerprint(text, n):
+    small = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    parts = [w for w in small.encode().split() if w]
+    if not parts:
+        return 0
+    grams = [parts[i : i + n] for i in range(max(len(parts) - n, 0) + 1)]
+    hashes = [xxhash.xxh64_intdigest(b" ".join(g), seed=42) for g in grams]
+    bits = (b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    found = sum(1 << b for b in bits)
+    return found - (1 << 64) if found >> 63 else found
+
+
+def brute_groups(rows, n, bits):
+    prints = [brute_fingerprint(r[1], n) for r in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            if bin((a ^ b) & (2**64 - 1)).count("1") <= bits:
+                group = [group[j] if g == group[i] else g for g in group]
+    out = []
+    for i, row in enumerate(rows):
+        keys = [r[0] for r, g in zip(rows, group) if g == group[i] and r[0] is not None]
+        out.append((row[0], prints[i], min(keys, default=None)))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted(((r.doc_id, r.fp, r.component) for r in df.collect()), key=repr)
+
+
+def test_groups_equal_brute_force(spark):
+    rows = awkward()
+    base = words(7, 300).split()
+    rng = random.Random(5)
+    for i in range(30):
+        copy = list(base)
+        copy[rng.randrange(300)] = "changed"
+        rows += plain([(100 + i, " ".join(copy))])
+    rows += plain([(200 + i, words(50 + i, 40)) for i in range(20)])
+    assert found(simhash.near_duplicates(frame(spark, rows), words=4)) == brute_groups(rows, 4, 4)
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(frame(spark, [])).count() == 0
+    assert simhash.one_of_each(frame(spark, [])).count() == 0
+
+
+def test_large_buckets_join_the_same_values(spark):
+    rng = random.Random(3)
+    center = rng.getrandbits(63)
+    values = {center}
+    for _ in range(40):
+        value = rng.choice(sorted(values))
+        for _ in range(rng.randint(1, 6)):
+            value ^= 1 << rng.randrange(62)
+        values.add(value)
+    df = spark.createDataFrame([(v,) for v in values], "fp long")
+
+    def parts(bucket):
+        rooted = components(simhash.links(df, 4, bucket)).collect()
+        return {r.node: r.root for r in rooted}
+
+    assert parts(2) == parts(512) and len(parts(2)) > 20
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100)], "a long, b long")
+    assert {tuple(r) for r in components(edges).collect()} == {(i, 0) for i in range(41)}
+    assert components(edges.limit(0)).count() == 0
+
+
+def test_one_of_each_group_stays(spark):
+    rows = awkward()
+    groups = brute_groups(rows, 4, 4)
+    kept = simhash.one_of_each(frame(spark, rows), words=4)
+    assert kept.columns == frame(spark, rows).columns
+    smallest = {c for _, _, c in groups}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(smallest)

@@ -160,6 +160,20 @@ def summarise_times(
     )
 
 
+def threshold_of_times(
+    travel_times: DataFrame, units: DataFrame, by: list[str], threshold: float
+) -> DataFrame:
+    """``summarise_threshold`` of a long list of times and its cells, reduced to
+    cells before anything is joined."""
+    found = summarise_times(travel_times, units, by, threshold)
+    return found.select(
+        *by,
+        "Anzahl_Betroffene",
+        "Prozent_Betroffene",
+        F.lit(float(threshold)).alias("Schwellenwert"),
+    )
+
+
 def level_of(verwaltungsebene: str) -> Level:
     return LEVELS[one_of(verwaltungsebene, LEVELS, "Verwaltungsebene")]
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reachgrid.functions.geometry import geometry_bounds
+from reachgrid.functions.geometry import geometry_bounds, normalise_geometry
 from reachgrid.functions.text import (
     create_polygon_label,
     create_polygon_label_differenz,
@@ -48,9 +49,10 @@ from reachgrid.operators.summary import (
     compute_percentage_covered,
     filter_by_coverage,
     inhabited_cells,
-    summarise_threshold,
     summarise_times,
+    threshold_of_times,
 )
+from reachgrid.plans.extracts import geofilter, klinikfilter, komplettexport
 from reachgrid.plans.publish import (
     assemble_feature_collection,
     build_export_json,
@@ -62,9 +64,18 @@ from reachgrid.plans.scenario import (
     scenario_cells,
     scenario_summary,
 )
-from reachgrid.schema import GEOMETRY, LAYOUT_COMBINED, LAYOUT_SPLIT
+from reachgrid.schema import (
+    ADMIN_UNITS,
+    CELL_MUNICIPALITY,
+    CELL_PEOPLE,
+    GEOMETRY,
+    LAYOUT_COMBINED,
+    LAYOUT_SPLIT,
+    TRAVEL_TIMES_SUBSET,
+)
 from reachgrid.session import scratch
 from reachgrid.sinks.geoparquet import write_geoparquet
+from reachgrid.sinks.lists import write_list
 from reachgrid.sinks.parquet import (
     copy_tables,
     export_all_tables,
@@ -72,6 +83,7 @@ from reachgrid.sinks.parquet import (
     write_parquet,
     write_partitioned,
 )
+from reachgrid.sources.lists import read_template
 from reachgrid.sources.tables import Snapshot, read_chunks, read_geoparquet
 from workload.model import Model
 
@@ -98,11 +110,6 @@ def units(m: Model) -> DataFrame:
     return cell_units(m.cells_combined, m.admin_units)
 
 
-def people_rows(m: Model) -> DataFrame:
-    """Every travel time with inhabitants and administrative units."""
-    return m.travel_times.join(units(m), "Gitterzellen_ID", "left")
-
-
 # Sources and sinks
 
 
@@ -149,10 +156,20 @@ def export_router(m: Model) -> DataFrame:
 
 
 def copied_tables(m: Model) -> DataFrame:
+    """Two tables first, then all: the second run leaves the first two alone."""
     folder = scratch(m.spark, "copy")
-    copied = copy_tables(m.spark, Snapshot(m.folder), folder, ["customer", "lineitem"])
-    result = Snapshot(folder)
-    return table_counts({n: result.table(m.spark, n) for n in copied})
+    source = Snapshot(m.folder)
+    runs = [
+        copy_tables(m.spark, source, folder, wanted)
+        for wanted in (["customer", "lineitem"], "all", "all")
+    ]
+    copy = Snapshot(folder)
+    counts = [
+        table_counts({n: copy.table(m.spark, n) for n in names}).withColumn("lauf", F.lit(run))
+        for run, names in enumerate(runs, 1)
+        if names
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def partitioned_export(m: Model) -> DataFrame:
@@ -161,6 +178,65 @@ def partitioned_export(m: Model) -> DataFrame:
     return m.spark.read.parquet(folder)
 
 
+def _template_csv(m: Model) -> str:
+    """The template as its users write it: separated by semicolons, without lines."""
+    path = scratch(m.spark, "template")
+    rows = m.template.drop("Zeile").write.option("header", True).option("sep", ";")
+    rows.option("nullValue", "NA").csv(path)
+    return path
+
+
+def _model_snapshot(m: Model) -> Snapshot:
+    folder = scratch(m.spark, "snapshot")
+    export_all_tables(_model_tables(m), folder)
+    return Snapshot(folder)
+
+
+def template_csv(m: Model) -> DataFrame:
+    template = read_template(m.spark, _template_csv(m))
+    return unmatched_template_rows(template, m.admin_units).drop("Zeile")
+
+
+def geofilter_run(m: Model) -> DataFrame:
+    folder = scratch(m.spark, "geofilter")
+    geofilter(
+        m.spark,
+        _template_csv(m),
+        _model_snapshot(m),
+        folder,
+        scratch(m.spark, "municipalities"),
+        tables_to_copy=[ADMIN_UNITS, CELL_MUNICIPALITY, CELL_PEOPLE],
+    )
+    return read_chunks(m.spark, folder, TRAVEL_TIMES_SUBSET)
+
+
+def klinikfilter_run(m: Model) -> DataFrame:
+    hospitals = scratch(m.spark, "hospitals")
+    write_list(m.scenario, hospitals)
+    folder = scratch(m.spark, "klinikfilter")
+    klinikfilter(
+        m.spark, hospitals, _model_snapshot(m), folder, tables_to_copy=[ADMIN_UNITS]
+    )
+    return read_chunks(m.spark, folder, TRAVEL_TIMES_SUBSET)
+
+
+def full_export(m: Model) -> DataFrame:
+    folder = scratch(m.spark, "full")
+    return komplettexport(m.spark, _model_snapshot(m), folder).table_counts
+
+
+def ewkb_clean(m: Model) -> DataFrame:
+    """A point per customer, in either byte order, with an SRID or without."""
+    place = F.concat(F.lpad(F.hex("c_custkey"), 16, "0"), F.lit("0" * 16))
+    heads = ("0101000020E6100000", "0020000001000010E6", "0101000000", "0000000001")
+    head = F.lit(heads[3])
+    for kind, value in enumerate(heads[:3]):
+        head = F.when(F.col("c_custkey") % 4 == kind, value).otherwise(head)
+    wkb = F.when(F.col("c_acctbal") >= 0, F.unhex(F.concat(head, place)))
+    clean = normalise_geometry(m.raw("customer").withColumn(GEOMETRY, wkb))
+    return clean.select("c_custkey", F.hex(GEOMETRY).alias("wkb"))
+
+
 # Filters
 
 
@@ -210,7 +286,7 @@ def multi_threshold(m: Model) -> DataFrame:
 
 
 def affected_population(m: Model) -> DataFrame:
-    return summarise_threshold(people_rows(m), ["Gemeindeschluessel"], 25)
+    return threshold_of_times(m.travel_times, units(m), ["Gemeindeschluessel"], 25)
 
 
 def inhabited(m: Model) -> DataFrame:
@@ -445,6 +521,11 @@ _BY_NAME: dict[str, Callable[[Model], DataFrame]] = {
     "export_router": export_router,
     "copy_tables": copied_tables,
     "partitioned_export": partitioned_export,
+    "template_csv": template_csv,
+    "geofilter_run": geofilter_run,
+    "klinikfilter_run": klinikfilter_run,
+    "full_export": full_export,
+    "ewkb_clean": ewkb_clean,
     "nearest_single": nearest_single,
     "closure_impact": closure_impact,
     "redundancy": redundancy,

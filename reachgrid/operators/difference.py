@@ -66,7 +66,9 @@ def difference_cells(
 ) -> DataFrame:
     """Reference rows with their scenario rows and the change in minutes.
 
-    Reference rows without a partner stay, with an unknown change. Keys may be
+    Every reference row of a cell meets every scenario row of it, so ties on both
+    sides multiply; the summary multiplies their counts instead. Reference rows
+    without a partner stay, with an unknown change. Keys may be
     NULL on both sides. ``keys=["Gitterzellen_ID"]`` is enough, and cheaper to
     shuffle, where a cell has one municipality and one population.
     """

@@ -8,7 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachgrid.schema import GEOMETRY, GEOMETRY_TABLES
+from reachgrid.schema import (
+    CELL_MUNICIPALITY,
+    CELL_PEOPLE,
+    GEOMETRY,
+    GEOMETRY_TABLES,
+    TRAVEL_TIMES,
+)
 from reachgrid.functions.geometry import normalise_geometry
 
 
@@ -80,9 +86,9 @@ class Postgres:
     """A schema of a PostgreSQL database, read over JDBC.
 
     Unset connection values come from the environment variables ``HOST``,
-    ``PORT``, ``DB``, ``USER`` and ``PASSWORD``. A table named in ``hash_keys``
-    is read in ``partitions`` parallel slices by a hash of that column; string
-    keys have no range a reader could split.
+    ``PORT``, ``DB``, ``USER`` and ``PASSWORD``. The tables named in ``sliced`` are
+    read in parallel slices of ``slice_blocks`` blocks of their file: each block is
+    read once, whatever the keys are and without an index.
     """
 
     schema: str = "public"
@@ -93,14 +99,8 @@ class Postgres:
     password: str | None = field(default=None, repr=False)
     sslmode: str = "prefer"
     fetch_size: int = 50_000
-    partitions: int = 64
-    hash_keys: dict[str, str] = field(
-        default_factory=lambda: {
-            "Entfernungsdaten": "Gitterzellen_ID",
-            "Gitterzellen_Gemeinde_Mapping": "Gitterzellen_ID",
-            "Gitterzellen_Einwohner_Mapping": "Gitterzellen_ID",
-        }
-    )
+    slice_blocks: int = 65_536
+    sliced: tuple[str, ...] = (TRAVEL_TIMES, CELL_MUNICIPALITY, CELL_PEOPLE)
     geometry_tables: tuple[str, ...] = GEOMETRY_TABLES
     geometry_column: str = GEOMETRY
 
@@ -122,21 +122,31 @@ class Postgres:
     def table_name(self, name: str) -> str:
         return f'"{self.schema}"."{name}"'
 
-    def predicates(self, column: str) -> list[str]:
-        """Disjoint conditions that cover every row, missing keys included."""
-        bucket = f'mod(abs(hashtext("{column}"::text)::bigint), {self.partitions})'
-        slices = [f"{bucket} = {i}" for i in range(self.partitions)]
-        slices[0] = f'({slices[0]} OR "{column}" IS NULL)'
-        return slices
+    def size_query(self, name: str) -> str:
+        """SQL for the blocks of a table's file."""
+        table = self.table_name(name).replace("'", "''")
+        return (
+            f"SELECT pg_relation_size('{table}'::regclass) "
+            "/ current_setting('block_size')::bigint AS blocks"
+        )
+
+    def predicates(self, blocks: int) -> list[str]:
+        """Disjoint conditions on the place of a row that cover every row; the last
+        one is open, for rows added since the size was taken."""
+        edges = list(range(0, max(blocks, 1), self.slice_blocks))
+        lower = [f"ctid >= '({edge},0)'::tid" for edge in edges]
+        upper = [f" AND ctid < '({edge},0)'::tid" for edge in edges[1:]]
+        return [low + high for low, high in zip(lower, [*upper, ""])]
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         options = self.options()
-        if name in self.hash_keys:
+        if name in self.sliced:
+            size = spark.read.format("jdbc").options(**options, query=self.size_query(name))
             url = options.pop("url")
             df = spark.read.jdbc(
                 url,
                 self.table_name(name),
-                predicates=self.predicates(self.hash_keys[name]),
+                predicates=self.predicates(size.load().first()[0]),
                 properties=options,
             )
         else:

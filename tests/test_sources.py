@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from reachgrid.schema import ADMIN_SCHEMA, FACT_SCHEMA
@@ -74,23 +76,36 @@ def test_postgres_options(monkeypatch):
     for name, value in {"DB": "d", "HOST": "h", "PORT": "5433", "USER": "u",
                         "PASSWORD": "p"}.items():
         monkeypatch.setenv(name, value)
-    source = Postgres(schema="geo", partitions=3)
+    source = Postgres(schema="geo")
     options = source.options()
     assert options["url"] == "jdbc:postgresql://h:5433/d?sslmode=prefer"
     assert (options["user"], options["password"]) == ("u", "p")
     assert source.table_name("T") == '"geo"."T"'
     assert "p" not in repr(Postgres(password="geheim")).split("password")
-    slices = source.predicates("k")
-    assert len(slices) == 3
-    assert slices[0].endswith('OR "k" IS NULL)') and slices[2].endswith("= 2")
     monkeypatch.delenv("HOST")
     with pytest.raises(ValueError, match="Could not connect"):
         source.options()
 
 
+@pytest.mark.parametrize("blocks", [0, 1, 9, 10, 11, 35])
+def test_postgres_slices_cover_every_row_once(blocks):
+    slices = Postgres(slice_blocks=10).predicates(blocks)
+    assert len(slices) == max(1, -(-blocks // 10))
+    bounds = [[int(n) for n in re.findall(r"'\((\d+),0\)'::tid", s)] for s in slices]
+    assert bounds[0][0] == 0 and len(bounds[-1]) == 1
+    assert all(a[1] == b[0] for a, b in zip(bounds, bounds[1:]))
+    # no function on a column, and one lower bound each
+    assert all(s.startswith("ctid >= ") and s.count("ctid") <= 2 for s in slices)
+
+
+def test_postgres_size_names_the_table():
+    query = Postgres(schema="geo").size_query("Entfernungsdaten")
+    assert """pg_relation_size('"geo"."Entfernungsdaten"'::regclass)""" in query
+
+
 def test_source_choice():
     assert make_source("snapshot", "/data") == Snapshot("/data")
-    assert make_source(partitions=2).partitions == 2
+    assert make_source(slice_blocks=2).slice_blocks == 2
     with pytest.raises(ValueError, match="path is required"):
         make_source("snapshot")
     with pytest.raises(ValueError, match="got: oracle"):

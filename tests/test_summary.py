@@ -10,6 +10,7 @@ from reachgrid.operators.summary import (
     inhabited_cells,
     summarise_threshold,
     summarise_times,
+    threshold_of_times,
 )
 
 SCHEMA = (
@@ -241,3 +242,20 @@ def test_coverage_matches_the_missing_unit(spark):
 def test_level_names_are_checked(spark):
     with pytest.raises(ValueError, match="Verwaltungsebene"):
         inhabited_cells(spark.range(1), spark.range(1), "Stadt")
+
+
+def test_threshold_of_times_equals_the_joined_form(spark):
+    times = spark.createDataFrame(
+        [("a", 600), ("a", 1800), ("a", None), ("b", 1500), ("c", 3000), ("d", 10)],
+        "Gitterzellen_ID string, Fahrzeit_Sekunden int",
+    )
+    units = spark.createDataFrame(
+        [("a", 10, "x"), ("b", 5, "x"), ("c", None, "y")],
+        "Gitterzellen_ID string, Einwohner long, Kreis string",
+    )
+    found = threshold_of_times(times, units, ["Kreis"], 25)
+    joined = times.join(units, "Gitterzellen_ID", "left")
+    wanted = summarise_threshold(joined, ["Kreis"], 25)
+    assert found.columns == wanted.columns
+    key = lambda row: str(row[0])
+    assert sorted(found.collect(), key=key) == sorted(wanted.collect(), key=key)

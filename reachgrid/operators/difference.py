@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachgrid.functions.numbers import minutes, no_nan, percent, total, weighted_mean
+from reachgrid.operators.nearest import COPIES, REFERENCE, SCENARIO
 from reachgrid.operators.rows import count_rows
-from reachgrid.schema import PEOPLE, SECONDS, require_columns
+from reachgrid.schema import CELL, PEOPLE, SECONDS, require_columns
 
-REFERENCE = "_Referenz"
-SCENARIO = "_Szenario"
 DIFFERENCE = "Fahrzeit_Differenz_Minuten"
 
 # Columns two cell tables are matched on by default.
@@ -98,10 +97,27 @@ def fahrzeit_differenz_zusammenfassung(
         kept = [c for c in side.columns if c in wanted]
         return count_rows(side, kept, name, copies)
 
-    joined = _with_difference(
-        _null_safe_left_join(collapsed(left, "_left"), collapsed(right, "_right"), keys)
+    joined = _null_safe_left_join(
+        collapsed(left, "_left"), collapsed(right, "_right"), keys
     )
+    return _summed(joined, by)
+
+
+def difference_of_times(times: DataFrame, units: DataFrame, by: list[str]) -> DataFrame:
+    """The same summary from ``nearest_times_compared`` and the units of the cells,
+    of which each cell has one row. Only cells are joined, on the cell alone.
+    """
+    counts = {COPIES + REFERENCE: "_left", COPIES + SCENARIO: "_right"}
+    joined = times.withColumnsRenamed(counts).join(
+        units.select(*dict.fromkeys([CELL, PEOPLE, *by])), CELL, "left"
+    )
+    return _summed(joined, by)
+
+
+def _summed(joined: DataFrame, by: list[str]) -> DataFrame:
+    """The summary of matched rows that stand for ``_left`` times ``_right`` pairs."""
     require_columns(joined, [PEOPLE, *by])
+    joined = _with_difference(joined)
     pairs = F.col("_left") * F.coalesce(F.col("_right"), F.lit(1))
     prepared = joined.withColumns({"_pairs": pairs, "_people": no_nan(joined, PEOPLE)})
     people, pairs = F.col("_people"), F.col("_pairs")

@@ -72,22 +72,29 @@ def _mask(columns: list[str]) -> Column:
     return reduce(lambda a, b: a + b, bits)
 
 
-def _variants(admin_units: DataFrame, columns: list[str]) -> DataFrame:
-    """Every unit once per set of columns a template row may leave open.
+def _variants(
+    admin_units: DataFrame, columns: list[str], template: DataFrame
+) -> DataFrame:
+    """Every unit once per set of columns that a row of the template leaves open.
 
     With the open columns set to NULL, a template with wildcards becomes an
-    equality join: four columns give sixteen rows per unit, whatever the
-    template looks like.
+    equality join: of four columns there are at most sixteen sets, and only
+    those that occur are listed. A template of open rows only gives one key for
+    all units; these are few, and adaptive execution splits such a key.
     """
+    occurring = template.agg(F.collect_set(_MASK)).scalar()
     choices = []
     for mask in range(1 << len(columns)):
         fields = [
             (F.col(c) if mask >> i & 1 else F.lit(None).cast("string")).alias(f"_{c}")
             for i, c in enumerate(columns)
         ]
-        choices.append(F.struct(F.lit(mask).alias(_MASK), *fields))
-    return admin_units.select("*", F.explode(F.array(*choices)).alias("_v")).select(
-        *admin_units.columns, "_v.*"
+        choice = F.struct(F.lit(mask).alias(_MASK), *fields)
+        choices.append(F.when(F.array_contains("_masks", F.lit(mask)), choice))
+    return (
+        admin_units.withColumn("_masks", occurring)
+        .select(*admin_units.columns, F.explode(F.array_compact(F.array(*choices))).alias("_v"))
+        .select(*admin_units.columns, "_v.*")
     )
 
 
@@ -119,7 +126,7 @@ def match_template(template: DataFrame, admin_units: DataFrame) -> DataFrame:
     template, columns = _prepare(template)
     # Equal template rows collapse before the join.
     wanted = template.groupBy(_MASK, *columns).agg(F.min(LINE_NUMBER).alias("_first"))
-    units = _variants(admin_units, columns)
+    units = _variants(admin_units, columns, wanted)
     found = units.join(wanted, _same(units, wanted, columns)).select(
         *(units[c] for c in admin_units.columns), "_first"
     )
@@ -139,7 +146,7 @@ def match_template(template: DataFrame, admin_units: DataFrame) -> DataFrame:
 def unmatched_template_rows(template: DataFrame, admin_units: DataFrame) -> DataFrame:
     """Template rows that fit no unit, with their line numbers."""
     template, columns = _prepare(template)
-    units = _variants(admin_units, columns)
+    units = _variants(admin_units, columns, template)
     units = units.select(_MASK, *(f"_{c}" for c in columns)).distinct()
     return template.join(units, _same(units, template, columns), "left_anti").select(
         LINE_NUMBER, *columns

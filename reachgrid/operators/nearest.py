@@ -27,6 +27,10 @@ from reachgrid.schema import (
 # Number of equally near hospitals a row stands for.
 COPIES = "Anzahl_Naechste"
 
+# Ends of the columns of a reference and of a scenario.
+REFERENCE = "_Referenz"
+SCENARIO = "_Szenario"
+
 
 def scenario_times(travel_times: DataFrame, hospitals: DataFrame) -> DataFrame:
     """Travel times to the hospitals of a scenario; a hospital listed twice
@@ -110,6 +114,50 @@ def nearest_times(
     )
 
 
+def nearest_times_compared(
+    travel_times: DataFrame, reference: DataFrame, scenario: DataFrame
+) -> DataFrame:
+    """Shortest known times per cell to the hospitals of a reference and to those
+    of a scenario, each with the number of hospitals that share it.
+
+    Both minima come from one aggregation and both counts from one join back, so
+    the travel times are read twice whatever is compared. Cells the reference
+    does not reach are absent; a hospital listed twice counts twice.
+    """
+    require_columns(reference, [HOSPITAL])
+    require_columns(scenario, [HOSPITAL])
+    sides = [
+        df.select(HOSPITAL, F.lit(r).alias("_ref"), F.lit(1 - r).alias("_sc"))
+        for df, r in ((reference, 1), (scenario, 0))
+    ]
+    listed = sides[0].unionByName(sides[1]).groupBy(HOSPITAL)
+    listed = listed.agg(F.sum("_ref").alias("_ref"), F.sum("_sc").alias("_sc"))
+    times = travel_times.select(HOSPITAL, CELL, SECONDS).join(listed, HOSPITAL)
+    times = times.filter(F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull())
+
+    def least(number: str):
+        return F.min(F.when(F.col(number) > 0, F.col(SECONDS)))
+
+    best = times.groupBy(CELL).agg(
+        least("_ref").alias(SECONDS + REFERENCE), least("_sc").alias(SECONDS + SCENARIO)
+    )
+    minima = [SECONDS + REFERENCE, SECONDS + SCENARIO]
+    # a row per cell and minimum; where both are equal, one row
+    marks = best.filter(F.col(SECONDS + REFERENCE).isNotNull()).select(
+        CELL, *minima, F.explode(F.array_distinct(F.array(*minima))).alias(SECONDS)
+    )
+    met = times.join(marks, [CELL, SECONDS])
+
+    def ties(minimum: str, number: str):
+        return F.sum(F.when(F.col(SECONDS) == F.col(minimum), F.col(number)))
+
+    return met.groupBy(CELL).agg(
+        *(F.min(m).alias(m) for m in minima),
+        ties(minima[0], "_ref").alias(COPIES + REFERENCE),
+        ties(minima[1], "_sc").alias(COPIES + SCENARIO),
+    )
+
+
 def cell_table(
     layout: str,
     combined: DataFrame | None = None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -59,6 +60,8 @@ class Collection:
     features: DataFrame
     scenario1: ScenarioInfo | None = None
     scenario2: ScenarioInfo | None = None
+    #: The same collection with what a document reads several times stored.
+    with_stored: Callable[[], Collection] | None = None
 
 
 def _quoted(text: Column) -> Column:
@@ -112,6 +115,8 @@ class _Layout:
         self.add_text(f',"created_at":{created}}}')
 
     def add_collection(self, collection: Collection) -> None:
+        if collection.with_stored is not None:
+            collection = collection.with_stored()
         crs = json_text(CRS)
         self.add_text(f'{{"type":"FeatureCollection","crs":{crs},"features":[')
         self.add_items(stored(collection.features, "features"))
@@ -146,15 +151,19 @@ def szenario_to_geojson(
     """Every municipality polygon with the times of a scenario.
 
     Units covered to less than the threshold are published without values; the
-    overall coverage counts them. The summary, one row per unit, is stored
-    first, because a document reads it several times.
+    overall coverage counts them. A document stores the summary, one row per
+    unit, when it is assembled, because it reads it several times.
     """
-    summary = stored(summary, "summary")
-    covered = filter_by_coverage(summary, grenzwert_abdeckung)
-    properties = add_empty_scenario2_columns(build_scenario_properties(covered))
-    joined = join_properties_to_polygons(polygons, properties)
-    info = ScenarioInfo(hospitals, compute_percentage_covered(summary), created_at)
-    return Collection(to_features(joined, UNIT_PROPERTIES, "AGS"), info)
+
+    def build(summary: DataFrame, again: Callable | None = None) -> Collection:
+        covered = filter_by_coverage(summary, grenzwert_abdeckung)
+        properties = add_empty_scenario2_columns(build_scenario_properties(covered))
+        joined = join_properties_to_polygons(polygons, properties)
+        info = ScenarioInfo(hospitals, compute_percentage_covered(summary), created_at)
+        features = to_features(joined, UNIT_PROPERTIES, "AGS")
+        return Collection(features, info, with_stored=again)
+
+    return build(summary, lambda: build(stored(summary, "summary")))
 
 
 def kliniken_to_geojson(sites: DataFrame, admin_units: DataFrame) -> Collection:

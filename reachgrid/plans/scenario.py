@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reachgrid.functions.numbers import percent
+from reachgrid.operators.difference import difference_of_times
 from reachgrid.operators.nearest import (
     COPIES,
     cell_table,
@@ -17,6 +18,7 @@ from reachgrid.operators.nearest import (
     nearest_counted,
     nearest_hospitals,
     nearest_times,
+    nearest_times_compared,
 )
 from reachgrid.operators.summary import (
     CELLS_INHABITED,
@@ -118,6 +120,15 @@ def scenario_summary(
     return add_coverage(summary, inhabited, level.id_col)
 
 
+def scenario_difference(
+    tables: ScenarioTables, reference: DataFrame, scenario: DataFrame, by: list[str]
+) -> DataFrame:
+    """Change of travel times from one list of hospitals to another, per group of
+    the administrative columns ``by``."""
+    times = nearest_times_compared(tables.travel_times, reference, scenario)
+    return difference_of_times(times, cell_units(tables.cells, tables.admin_units, by), by)
+
+
 def _reached_cells(
     tables: ScenarioTables, hospitals: DataFrame, columns: list[str], ties: str
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from reachgrid.operators.rows import count_rows, repeat_rows
 
+
 def text_line(spark: SparkSession, section: int, text: str) -> DataFrame:
     """A fixed line of a document."""
     return spark.range(1).select(
@@ -36,26 +37,29 @@ def value_line(one_row: DataFrame, section: int, line) -> DataFrame:
 def item_lines(items: DataFrame, section: int) -> DataFrame:
     """Lines of the elements of a JSON array or object, commas included.
 
-    ``items`` has the columns key and line. Every element but the first gets a
-    comma in front, the first a space, which sorts before it. The first is
-    found with a plain minimum; equal elements are counted before, so that
-    there is exactly one first row.
+    ``items`` has the columns key and line, and is read three times. Every
+    element but the first gets a comma in front, the first a space, which sorts
+    before it. Only elements with the smallest key are looked at closer, with
+    equal ones counted, so that there is exactly one first row; the others pass
+    without a shuffle.
     """
-    unique = count_rows(items, ["key", "line"], "_copies")
-    first = unique.agg(F.min(F.struct("key", "line")).alias("_first")).select(
-        F.col("_first.key").alias("_key"), F.col("_first.line").alias("_line")
-    )
-    marked = unique.join(
-        first,
-        unique["key"].eqNullSafe(first["_key"]) & (unique["line"] == first["_line"]),
-        "left",
-    ).drop("_key")
-    is_first = F.col("_line").isNotNull() & (F.col("_copy") == 1)
+    least = items.agg(F.min(F.struct("key"))["key"]).scalar()
+    ahead = F.col("key").eqNullSafe(least)
+    head = count_rows(items.filter(ahead), ["key", "line"], "_copies")
+    is_first = (F.col("line") == head.agg(F.min("line")).scalar()) & (F.col("_copy") == 1)
     comma = F.when(is_first, F.lit(" ")).otherwise(F.lit(","))
-    return repeat_rows(marked, "_copies", "_copy").select(
-        F.lit(section).alias("section"),
-        "key",
-        F.concat(comma, F.col("line")).alias("line"),
+    return lines(
+        *(
+            part.select(
+                F.lit(section).alias("section"),
+                "key",
+                F.concat(sign, F.col("line")).alias("line"),
+            )
+            for part, sign in (
+                (repeat_rows(head, "_copies", "_copy"), comma),
+                (items.filter(~ahead), F.lit(",")),
+            )
+        )
     )
 
 

@@ -10,12 +10,15 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -24,11 +27,19 @@ from pyspark.sql.datasource import (
 
 from reachgrid.functions.geometry import bounds, read_wkb
 from reachgrid.schema import GEOMETRY, require_columns
+from reachgrid.sources.tables import qualified
 
 # Version and names of the file format.
 VERSION = "1.0.0"
 FORMAT = "geoparquet"
 
+# Start and length of a little-endian WKB point in the plane.
+POINT_HEAD = b"\x01\x01\x00\x00\x00"
+POINT_BYTES = 21
+
+# Files that the commit moves at a time.
+MOVES = 32
+
 # Batches are gathered up to this size, so that row groups are worth a read.
 ROW_GROUP_BYTES = 64 * 1024 * 1024
 
@@ -40,16 +51,22 @@ class FileInfo:
         self.types: set[str] = set()
         self.box: tuple | None = None
 
-    def add(self, column: pa.ChunkedArray | pa.Array) -> None:
-        for value in column:
-            data = value.as_py()
-            if data is None:
+    def add(self, column: pa.ChunkedArray) -> None:
+        for chunk in column.chunks:
+            chunk = chunk.drop_null()
+            points = _plain_points(chunk)
+            if points is not None:
+                self.types.add("Point")
+                self._widen(bounds(points))
                 continue
-            name, shape = read_wkb(data)
-            self.types.add(name)
-            box = bounds(shape)
-            if box is not None:
-                self.box = box if self.box is None else _join(self.box, box)
+            for value in chunk:
+                name, shape = read_wkb(value.as_py())
+                self.types.add(name)
+                self._widen(bounds(shape))
+
+    def _widen(self, box: tuple | None) -> None:
+        if box is not None:
+            self.box = box if self.box is None else _join(self.box, box)
 
     def footer(self, column: str) -> bytes:
         # Without a CRS entry the format means WGS84 longitude and latitude.
@@ -61,6 +78,19 @@ class FileInfo:
         ).encode()
 
 
+def _plain_points(column: pa.Array) -> np.ndarray | None:
+    """Coordinates of a column of little-endian points in the plane, read at once;
+    None if it holds anything else, or nothing."""
+    lengths = pc.min_max(pc.binary_length(column)).as_py()
+    if lengths != {"min": POINT_BYTES, "max": POINT_BYTES}:
+        return None
+    values = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    values = values.reshape(-1, POINT_BYTES)
+    if (values[:, :5] != np.frombuffer(POINT_HEAD, np.uint8)).any():
+        return None
+    return values[:, 5:].copy().view("<f8")
+
+
 def _row_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The batches in tables of about the size of a row group."""
     waiting, size = [], 0
@@ -97,7 +127,7 @@ class _Writer(DataSourceArrowWriter):
         self.pending = f"{self.path}/_pending-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        filesystem, folder = pafs.FileSystem.from_uri(_uri(self.pending))
+        filesystem, folder = resolve(self.pending)
         filesystem.create_dir(folder, recursive=True)
         name = f"part-{uuid.uuid4().hex}.parquet"
         writer, info = None, FileInfo()
@@ -120,18 +150,24 @@ class _Writer(DataSourceArrowWriter):
         return _Written(name if writer is not None else None)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        filesystem, target = pafs.FileSystem.from_uri(_uri(self.path))
-        _, pending = pafs.FileSystem.from_uri(_uri(self.pending))
+        filesystem, target = resolve(self.path)
+        _, pending = resolve(self.pending)
         filesystem.create_dir(target, recursive=True)
         names = [m.name for m in messages if m is not None and m.name]
-        if self.overwrite:
-            for entry in filesystem.get_file_info(pafs.FileSelector(target)):
-                if entry.is_file:
-                    filesystem.delete_file(entry.path)
-        if not names:
-            self._write_empty(filesystem, target)
-        for name in names:
-            filesystem.move(f"{pending}/{name}", f"{target}/{name}")
+        # a late attempt writes into the pending folder, where nobody reads it
+        with ThreadPoolExecutor(MOVES) as pool:
+            if self.overwrite:
+                found = filesystem.get_file_info(pafs.FileSelector(target))
+                old = [entry.path for entry in found if entry.is_file]
+                list(pool.map(filesystem.delete_file, old))
+            if not names:
+                self._write_empty(filesystem, target)
+            list(
+                pool.map(
+                    lambda name: filesystem.move(f"{pending}/{name}", f"{target}/{name}"),
+                    names,
+                )
+            )
         self._drop_pending(filesystem, pending)
 
     def _write_empty(self, filesystem, target: str) -> None:
@@ -151,12 +187,27 @@ class _Writer(DataSourceArrowWriter):
             filesystem.delete_dir(pending)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        filesystem, pending = pafs.FileSystem.from_uri(_uri(self.pending))
+        filesystem, pending = resolve(self.pending)
         self._drop_pending(filesystem, pending)
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path else path.removeprefix("file:")
+def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a full URI or an absolute path; raises where pyarrow
+    knows no such file system. What Hadoop calls s3a or s3n is s3 there."""
+    scheme, mark, rest = uri.partition("://")
+    if mark and scheme in ("s3a", "s3n"):
+        uri = f"s3://{rest}"
+    elif not mark:
+        uri = uri.removeprefix("file:")
+    return pafs.FileSystem.from_uri(uri)
+
+
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark's own writers complete it. Raises,
+    before anything is written, if tasks could not write there."""
+    full = qualified(spark, path)
+    resolve(full)
+    return full
 
 
 class GeoParquet(DataSource):
@@ -185,6 +236,7 @@ def write_geoparquet(
 ) -> None:
     """Write a table with a WKB column as a folder of GeoParquet files."""
     require_columns(df, [column])
+    path = full_path(df.sparkSession, path)
     df.sparkSession.dataSource.register(GeoParquet)
     (
         df.write.format(FORMAT)

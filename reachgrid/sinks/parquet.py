@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from reachgrid.schema import GEOMETRY, GEOMETRY_TABLES, LARGE_TABLES
-from reachgrid.sinks.geoparquet import write_geoparquet
+from reachgrid.sinks.geoparquet import full_path, write_geoparquet
 from reachgrid.sources.tables import Snapshot, Source, path_exists
 
 CHUNK_ROWS = 100_000_000
@@ -76,6 +76,8 @@ def export_all_tables(
     """Write every table in the form it needs; the result names form and path."""
     root = output_dir.rstrip("/")
     geometry_tables, large_tables = set(geometry_tables), set(large_tables)
+    for name in geometry_tables.intersection(tables):
+        full_path(tables[name].sparkSession, root)
     written = {}
     for name, df in tables.items():
         path = f"{root}/{name}.parquet"

@@ -1,10 +1,22 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from reachgrid.operators.difference import (
     difference_cells,
+    difference_of_times,
     fahrzeit_differenz_zusammenfassung,
 )
+from reachgrid.operators.nearest import (
+    COPIES,
+    REFERENCE,
+    SCENARIO,
+    nearest_times,
+    nearest_times_compared,
+)
+from reachgrid.schema import CELL, SECONDS
+from tests.conftest import rows
 
 SCHEMA = "Gemeinde string, Fahrzeit_Sekunden double, Einwohner double"
 KEYS = ["Gemeinde", "Einwohner"]
@@ -103,3 +115,60 @@ def test_counted_summary_equals_the_rows_with_a_heavy_key(spark):
     df = fahrzeit_differenz_zusammenfassung(ids, other, ["Gemeinde"], KEYS)
     found = {r[0]: (r[1], r[2], r[3]) for r in df.collect()}
     assert found == expected
+
+
+def test_times_of_both_sides_in_two_scans(spark):
+    """Minima and ties of both lists, as two separate runs give them."""
+    random.seed(5)
+    names = [f"h{i}" for i in range(8)]
+    data = [("heavy", random.choice(names), random.randint(3, 6)) for _ in range(150)]
+    data += [
+        (f"c{random.randint(0, 30)}", random.choice(names),
+         random.choice([None, 1, 2, 3]))
+        for _ in range(200)
+    ]
+    times = spark.createDataFrame(
+        data + [(None, "h1", 1)],
+        "Gitterzellen_ID string, Krankenhaus_Standortnummer string, Fahrzeit_Sekunden int",
+    )
+
+    def listed(*chosen):
+        return spark.createDataFrame([(c,) for c in chosen], "Krankenhaus_Standortnummer string")
+
+    before, after = listed(*names[:5], "h1"), listed("h2", "h3", "h3", "h7")
+    both = nearest_times_compared(times, before, after)
+    old = {r[0]: (r[1], r[2]) for r in nearest_times(times, before).collect()}
+    new = {r[0]: (r[1], r[2]) for r in nearest_times(times, after).collect()}
+    found = {
+        r[CELL]: (
+            (r[SECONDS + REFERENCE], r[COPIES + REFERENCE]),
+            (r[SECONDS + SCENARIO], r[COPIES + SCENARIO]),
+        )
+        for r in both.collect()
+    }
+    assert found == {c: (old[c], new.get(c, (None, None))) for c in old}
+
+    units = spark.createDataFrame(
+        [(c, i % 3, 10.0 * i if i % 4 else None) for i, c in enumerate(sorted(old)) if i % 7],
+        "Gitterzellen_ID string, Kreis int, Einwohner double",
+    )
+    whole = fahrzeit_differenz_zusammenfassung(
+        nearest_times(times, before).join(units, CELL, "left"),
+        nearest_times(times, after).join(units, CELL, "left"),
+        ["Kreis"],
+        [CELL, "Kreis", "Einwohner"],
+        copies=COPIES,
+    )
+    assert rows(difference_of_times(both, units, ["Kreis"])) == rows(whole)
+
+
+def test_travel_times_are_read_twice(spark, tmp_path):
+    path = str(tmp_path / "ed")
+    spark.createDataFrame(
+        [("c", "h", 1)],
+        "Gitterzellen_ID string, Krankenhaus_Standortnummer string, Fahrzeit_Sekunden int",
+    ).write.parquet(path)
+    listed = spark.createDataFrame([("h",)], "Krankenhaus_Standortnummer string")
+    both = nearest_times_compared(spark.read.parquet(path), listed, listed)
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2

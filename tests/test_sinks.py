@@ -1,6 +1,7 @@
 import json
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from reachgrid.functions.geometry import point_wkb, square_wkb
 from reachgrid.operators.quality import check_primary_key_exists, duplicate_keys, table_counts
 from reachgrid.operators.rows import CHUNK, count_rows, repeat_rows
-from reachgrid.sinks.geoparquet import write_geoparquet
+from reachgrid.sinks.geoparquet import full_path, resolve, write_geoparquet
 from reachgrid.sinks.lists import write_list
 from reachgrid.sinks.parquet import (
     copy_tables,
@@ -185,3 +186,25 @@ def test_counting_and_repeating_rows(spark):
     large = spark.createDataFrame([("x", 2 * CHUNK + 1)], "k string, n long")
     out = repeat_rows(large, "n", "i").agg(F.count("*"), F.count_distinct("i"), F.max("i"))
     assert tuple(out.collect()[0]) == (2 * CHUNK + 1,) * 3
+
+
+def test_geoparquet_of_points_next_to_other_geometries(spark, tmp_path):
+    mixed = points(spark, (8, 50), (9, 51)).unionByName(
+        spark.range(1).select(
+            F.col("id").cast("int").alias("id"),
+            square_wkb(F.lit(3.0), F.lit(4.0)).alias("geometry"),
+        )
+    )
+    path = str(tmp_path / "mixed")
+    write_geoparquet(mixed.coalesce(1), path)
+    entry = geo_entry(parts(path)[0])["columns"]["geometry"]
+    assert entry["geometry_types"] == ["Point", "Polygon"]
+    assert entry["bbox"] == [3.0, 4.0, 9.0, 51.0]
+
+
+def test_geoparquet_paths(spark, tmp_path):
+    assert resolve(str(tmp_path))[1] == resolve(f"file:{tmp_path}")[1] == str(tmp_path)
+    assert resolve(f"file://{tmp_path}")[1] == str(tmp_path)
+    with pytest.raises(pa.ArrowInvalid):
+        resolve("unknown://folder/table")
+    assert full_path(spark, "relative/table").startswith("file:/")

@@ -18,10 +18,7 @@ from reachgrid.functions.text import (
     format_label_columns,
 )
 from reachgrid.operators import analyses
-from reachgrid.operators.difference import (
-    difference_cells,
-    fahrzeit_differenz_zusammenfassung,
-)
+from reachgrid.operators.difference import difference_cells
 from reachgrid.operators.filters import (
     filter_by_cells,
     filter_by_hospitals,
@@ -62,6 +59,7 @@ from reachgrid.plans.publish import (
 from reachgrid.plans.scenario import (
     scenario_all_levels,
     scenario_cells,
+    scenario_difference,
     scenario_summary,
 )
 from reachgrid.schema import (
@@ -309,23 +307,16 @@ def coverage_filter(m: Model) -> DataFrame:
     return filter_by_coverage(scenario("Gemeinde", LAYOUT_SPLIT)(m), 90)
 
 
-def _compared(m: Model, counted: bool) -> tuple[DataFrame, DataFrame]:
-    """Nearest rows with all hospitals, and with those of the scenario."""
+def difference_cells_query(m: Model) -> DataFrame:
     tables = m.tables()
-    return (
-        scenario_cells(tables, m.all_hospitals, counted=counted),
-        scenario_cells(tables, m.scenario, counted=counted),
+    return difference_cells(
+        scenario_cells(tables, m.all_hospitals), scenario_cells(tables, m.scenario)
     )
 
 
-def difference_cells_query(m: Model) -> DataFrame:
-    return difference_cells(*_compared(m, counted=False))
-
-
 def difference_summary(m: Model) -> DataFrame:
-    reference, changed = _compared(m, counted=True)
-    return fahrzeit_differenz_zusammenfassung(
-        reference, changed, ["Kreis_ID", "Kreis"], copies=COPIES
+    return scenario_difference(
+        m.tables(), m.all_hospitals, m.scenario, ["Kreis_ID", "Kreis"]
     )
 
 
@@ -469,7 +460,9 @@ def time_bands(m: Model) -> DataFrame:
 
 
 def snapshot_comparison(m: Model) -> DataFrame:
-    reference, changed = _compared(m, counted=True)
+    tables = m.tables()
+    reference = scenario_cells(tables, m.all_hospitals, counted=True)
+    changed = scenario_cells(tables, m.scenario, counted=True)
     return analyses.zeitreihen_vergleich(
         {"2020": reference, "2024": changed}, ["Bundesland"], COPIES
     )

@@ -195,7 +195,11 @@ def one_of_each(
     smallest key stays (of rows with that key, the one with the smallest hash of
     its text; of rows equal in both, one). All columns stay as they are.
     """
-    found = near_duplicates(docs, key, text, words, bits)
+    return keep_one(docs, near_duplicates(docs, key, text, words, bits), key, text)
+
+
+def keep_one(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """The documents that ``one_of_each`` keeps of the groups that were found."""
     # rows without any key make no group but that of their own fingerprint
     group = F.struct("component", F.when(F.col("component").isNull(), F.col("fp")))
     kept = found.groupBy(group.alias("g")).agg(

@@ -22,6 +22,10 @@ MAX_REPEATED = 30
 MAX_DOCUMENTS = 100
 MAX_SHARE = 0.01
 
+#: A document with a smaller share of words of its own, beside lines that others hold,
+#: is a copy: two of them have c / (c + 2 o) >= 0.8 of all their words in common.
+MIN_OWN = 1 / 9
+
 #: A document is depleted if less than this share of its words stays.
 MIN_KEPT = 0.5
 
@@ -110,7 +114,8 @@ def hashed_lines(whole: Column) -> Column:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """``key, text_hash, host, text`` with measures, base_failed and lines."""
+    """``key, text_hash, host`` with measures, base_failed, lines, and ``content``, one
+    value for all texts of the same distinct lines."""
     whole = F.coalesce("text", F.lit(""))
     found = docs.select(
         "key",
@@ -123,27 +128,60 @@ def described(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")
     )
-    return store(found.withColumn("base_failed", failed), "described")
+    hashes = F.transform(F.array_distinct("lines.line"), lambda line: F.xxhash64(line))
+    content = F.aggregate(hashes, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+    found = found.withColumn("base_failed", failed).withColumn("content", content)
+    return store(found, "described")
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """A row per line of described documents, with ``mate``: the smallest hash among
-    the document's other lines. Copies of a document have the same mates, so that
-    they count once."""
-    two = F.slice(F.array_sort(F.array_distinct("lines.line")), 1, 2)
-    rows = docs.select("key", "text_hash", "host", two.alias("two"), F.explode("lines").alias("l"))
-    first, second = F.get("two", F.lit(0)), F.get("two", F.lit(1))
-    mate = F.when(F.col("l.line") == first, F.coalesce(second, first)).otherwise(first)
-    return rows.select("key", "text_hash", "host", "l.place", "l.line", "l.words", mate.alias("mate"))
-
-
-def frequent_lines(
-    lines: DataFrame, docs: DataFrame, documents: int, share: float
-) -> DataFrame:
+    """A row per line of described documents."""
+    rows = docs.select("key", "text_hash", "host", F.explode("lines").alias("l"))
+    return rows.select("key", "text_hash", "host", "l.place", "l.line", "l.words")
+
+
+def _counts(pieces: DataFrame, documents: int) -> DataFrame:
+    """``host, line, n`` of the lines in more than so many documents."""
+    counts = pieces.groupBy("host", "line").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") > documents)
+
+
+def _other_documents(pieces: DataFrame, documents: int) -> DataFrame:
+    """``h, c, document`` of the contents with lines that many others hold: a document
+    is told apart by its other lines. If those are too few (MIN_OWN) it is a copy, and
+    all copies with the same longest shared line are one document."""
+    often = _counts(pieces, documents)
+    often = often.select(F.col("host").alias("h"), F.col("line").alias("l"))
+    met = pieces.join(often, pieces["host"].eqNullSafe(often["h"]) & (pieces["line"] == often["l"]))
+    found = met.groupBy("host", "content", "total").agg(
+        F.sum("words").alias("common"),
+        F.expr("bit_xor(xxhash64(line))").alias("mixed"),
+        F.max(F.struct("words", "line")).alias("longest"),
+    )
+    copy = F.col("total") - F.col("common") < MIN_OWN * F.col("total")
+    return found.select(
+        F.col("host").alias("h"),
+        F.col("content").alias("c"),
+        F.when(copy, F.xxhash64("longest.line"))
+        .otherwise(F.col("content").bitwiseXOR(F.col("mixed")))
+        .alias("document"),
+    )
+
+
+def frequent_lines(docs: DataFrame, documents: int, share: float) -> DataFrame:
     """``host, line`` of the lines above the limits."""
-    distinct = lines.select("host", "line", "mate").distinct()
-    counts = distinct.groupBy("host", "line").agg(F.count("*").alias("n"))
-    counts = counts.filter(F.col("n") > documents)
+    apart = F.array_distinct(F.transform("lines", lambda x: F.struct(x["line"], x["words"])))
+    held = docs.select("host", "content", apart.alias("apart")).withColumn(
+        "total", F.aggregate("apart.words", F.lit(0).cast("long"), lambda a, b: a + b)
+    )
+    pieces = held.select("host", "content", "total", F.inline("apart").alias("line", "words"))
+    pieces = store(pieces.distinct(), "pieces")
+    others = store(_other_documents(pieces, documents), "others")
+    same = pieces["host"].eqNullSafe(others["h"]) & (pieces["content"] == others["c"])
+    told = pieces.join(others, same, "left").select(
+        "host", "line", F.coalesce("document", "content").alias("document")
+    )
+    counts = _counts(told.distinct(), documents)
     sizes = docs.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("n_docs"))
     return (
         counts.join(sizes, counts["host"].eqNullSafe(sizes["h"]))
@@ -165,7 +203,8 @@ def verdicts(
     none), ``kept``, and ``key``, ``text_hash``, ``host`` to find it by.
 
     A normalised line goes if it stands in more documents of its host than both
-    limits allow; copies of a document count once. A document is rejected if the
+    limits allow. Documents that differ only in such lines, or in less than MIN_OWN of
+    their words beside them, are copies and count once. A document is rejected if the
     base rules fail, or if the lines that stay hold under MIN_WORDS words or under
     ``min_kept`` of all. Null texts are empty and fail; null hosts are one host;
     null keys are kept apart by their texts; repeated rows get the same verdict
@@ -179,7 +218,7 @@ def verdicts(
     )
     rows = described(rows)
     lines = line_rows(rows)
-    often = frequent_lines(lines, rows, documents, share)
+    often = frequent_lines(rows, documents, share)
     often = often.select(F.col("host").alias("h"), F.col("line").alias("l"))
     hit = lines.join(often, lines["host"].eqNullSafe(often["h"]) & (lines["line"] == often["l"]))
     gone = hit.groupBy("key", "text_hash", "host").agg(
@@ -202,7 +241,7 @@ def verdicts(
     return (
         rows.join(gone, same, "left")
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .drop("g_key", "g_hash", "g_host", "lost", "lines")
+        .drop("g_key", "g_hash", "g_host", "lost", "lines", "content")
     )
 
 

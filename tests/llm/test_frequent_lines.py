@@ -1,0 +1,40 @@
+"""Lines that many documents share: how documents are counted."""
+
+from reachgrid.llm import quality
+
+from .cases import frame, plain, words
+
+
+def verdicts(spark, rows, **limits):
+    return {r.key: r for r in quality.verdicts(frame(spark, plain(rows)), **limits).collect()}
+
+
+def test_documents_of_shared_lines_and_one_own_line_count_each(spark):
+    shared = [words(700 + i, 6) for i in range(5)]
+    rows = [(i, "\n".join([*shared, words(i, 30)])) for i in range(60)]
+    found = verdicts(spark, rows, documents=20, share=0.0)
+    assert all(sorted(r.removed) == [0, 1, 2, 3, 4] for r in found.values())
+    # the same holds where the own line is the smaller part, and the document is depleted
+    rows = [(i, "\n".join([*shared, *shared, words(i, 8)])) for i in range(60)]
+    found = verdicts(spark, rows, documents=20, share=0.0)
+    assert all(len(r.removed) == 10 and not r.kept for r in found.values())
+
+
+def test_copies_count_once(spark):
+    lines = [words(800 + i, 12) for i in range(20)]
+    near = [[*lines[: i % 20], words(i, 12), *lines[i % 20 + 1 :]] for i in range(60)]
+    rows = [(i, "\n".join(x)) for i, x in enumerate(near)]
+    # exact copies but for case and white space
+    rows += [(100 + i, f"{words(1, 30)}\n{words(2, 30).upper()}" + " " * i) for i in range(60)]
+    # one article below each of many frequent banners
+    banners = [words(900 + i, 6) for i in range(25)]
+    rows += [(200 + i, f"{b}\n{words(3, 60)}\n{words(4, 60)}") for i, b in enumerate(banners)]
+    rows += [
+        (1000 + 25 * i + k, f"{b}\n{words(5000 + 25 * i + k, 60)}")
+        for i in range(22)
+        for k, b in enumerate(banners)
+    ]
+    found = verdicts(spark, rows, documents=20, share=0.0)
+    assert all(found[i].kept and found[i].removed is None for i in range(60))
+    assert all(found[100 + i].kept and found[100 + i].removed is None for i in range(60))
+    assert all(r.kept and r.removed == [0] for k, r in found.items() if k >= 200)

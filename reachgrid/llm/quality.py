@@ -17,9 +17,9 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
 
-#: A line goes if more documents of its host hold it than this many, and more than
-#: this share of them.
-MAX_DOCUMENTS = 100
+#: A line goes if more distinct documents of its host hold it than this share of them.
+#: The least number only keeps hosts of a handful of documents from losing lines.
+MAX_DOCUMENTS = 10
 MAX_SHARE = 0.01
 
 #: A document with a smaller share of words of its own, beside lines that others hold,
@@ -182,7 +182,12 @@ def frequent_lines(docs: DataFrame, documents: int, share: float) -> DataFrame:
         "host", "line", F.coalesce("document", "content").alias("document")
     )
     counts = _counts(told.distinct(), documents)
-    sizes = docs.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("n_docs"))
+    contents = docs.select("host", "content").distinct()
+    same = contents["host"].eqNullSafe(others["h"]) & (contents["content"] == others["c"])
+    apart = contents.join(others, same, "left").select(
+        "host", F.coalesce("document", "content").alias("document")
+    )
+    sizes = apart.distinct().groupBy(F.col("host").alias("h")).agg(F.count("*").alias("n_docs"))
     return (
         counts.join(sizes, counts["host"].eqNullSafe(sizes["h"]))
         .filter(F.col("n") > share * F.col("n_docs"))
@@ -202,8 +207,8 @@ def verdicts(
     """Per document the measures, ``removed`` (places of the lines that go, null if
     none), ``kept``, and ``key``, ``text_hash``, ``host`` to find it by.
 
-    A normalised line goes if it stands in more documents of its host than both
-    limits allow. Documents that differ only in such lines, or in less than MIN_OWN of
+    A normalised line goes if it stands in more than ``documents`` distinct documents
+    of its host and in more than ``share`` of them. Documents that differ only in such lines, or in less than MIN_OWN of
     their words beside them, are copies and count once. A document is rejected if the
     base rules fail, or if the lines that stay hold under MIN_WORDS words or under
     ``min_kept`` of all. Null texts are empty and fail; null hosts are one host;

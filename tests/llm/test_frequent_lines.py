@@ -38,3 +38,18 @@ def test_copies_count_once(spark):
     assert all(found[i].kept and found[i].removed is None for i in range(60))
     assert all(found[100 + i].kept and found[100 + i].removed is None for i in range(60))
     assert all(r.kept and r.removed == [0] for k, r in found.items() if k >= 200)
+
+
+def test_limits_hold_at_any_size_and_over_distinct_documents(spark):
+    line = words(900, 6)
+    rows = [(i, f"{words(i, 30)}\n{line}" if i < 15 else words(i, 36)) for i in range(60)]
+    found = verdicts(spark, rows)
+    assert all(found[i].removed == ([1] if i < 15 else None) for i in range(60))
+    # copies are no documents of their own, neither of the line nor of the host
+    rows += [(100 + i, words(77, 40)) for i in range(200)]
+    found = verdicts(spark, rows, documents=10, share=0.2)
+    assert all(found[i].removed == ([1] if i < 15 else None) for i in range(60))
+    assert all(r.kept for r in found.values())
+    # ten documents are too few to tell
+    found = verdicts(spark, rows[:10], share=0.0)
+    assert all(r.removed is None for r in found.values())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,17 +14,22 @@ CUES = (
     "public domain", "creative commons", "unencumbered", "cc by",
 )
 
-#: Known sentences, as patterns over normalised sentences, with their identifiers;
-#: the first that is found names the sentence. Groups go into the identifier.
+#: What versions may be followed by: a license "or later" has no fixed one.
+LATER = r"(?: of the license)? or(?: at your option)? (?:any )?later"
+FIXED = rf"(?![0-9.]*[0-9]|{LATER})"
+
+#: Known wordings, as patterns over normalised sentences, with their identifiers; a
+#: sentence has those of all that follow one another in it, of several from the same
+#: place the first. Groups go into the identifier.
 SENTENCES = (
     (r"spdx license identifier ([a-z0-9.+-]+)", r"spdx:$1"),
     (r"cc (by(?:-nc)?(?:-sa|-nd)?) ([0-9.]*[0-9])", r"cc:$1-$2"),
     (r"creative commons attribution ([0-9.]*[0-9])", r"cc:by-$1"),
     (r"creative commons zero|cc0", r"cc0"),
-    (r"gnu affero general public license(?: as published.*)? version ([0-9])", r"agpl:$1"),
-    (r"gnu lesser general public license(?: as published.*)? version ([0-9.]*[0-9])", r"lgpl:$1"),
-    (r"gnu general public license(?: as published.*)? version ([0-9])", r"gpl:$1"),
-    (r"version ([0-9]) of the license or at your option any later version", r"later:$1"),
+    (rf"gnu affero general public license(?: as published.*?)? version ([0-9]){FIXED}", r"agpl:$1"),
+    (rf"gnu lesser general public license(?: as published.*?)? version ([0-9.]*[0-9]){FIXED}", r"lgpl:$1"),
+    (rf"gnu general public license(?: as published.*?)? version ([0-9]){FIXED}", r"gpl:$1"),
+    (rf"version ([0-9.]*[0-9]){LATER}(?: version)?", r"later:$1"),
     (r"gnu general public license", r"gpl-named"),
     (r"apache license version 2.0", r"apache-named"),
     (r"not use this (?:file|work) except in compliance with the license", r"apache-file"),
@@ -38,14 +44,14 @@ SENTENCES = (
     (r"redistribution and use in source and binary forms", r"bsd-grant"),
     (r"redistributions of source code must retain", r"bsd-source"),
     (r"redistributions in binary form must reproduce", r"bsd-binary"),
-    (r"neither the name of .* may be used to endorse", r"bsd-names"),
+    (r"neither the name of .*? may be used to endorse", r"bsd-names"),
     (r"free and unencumbered software released into the public domain", r"unlicense"),
     (r"all rights reserved", r"reserved"),
     (r"^(?:c )?copyright ", r"copyright"),
 )
 
-#: Rules over the identifiers of a document in their order, each tried once after
-#: the ones before it; what a rule matches is spent. Groups go into the license.
+#: Rules over the identifiers of a document in their order, each for all it matches
+#: after the ones before it; what a rule matches is spent. Groups go into the license.
 RULES = (
     (r"<spdx:([a-z0-9.+-]+)>", r"$1"),
     (r"<bsd-grant><bsd-source><bsd-binary><bsd-names>", r"bsd-3-clause"),
@@ -54,7 +60,7 @@ RULES = (
     (r"<mit-named>", r"mit"),
     (r"<isc-grant>", r"isc"),
     (r"<apache-named>(?:<apache-file>)?(?:<apache-copy>)?(?:<apache-basis>)?", r"apache-2.0"),
-    (r"<gpl-named><later:([0-9])>", r"gpl-$1.0-or-later"),
+    (r"<gpl-named><later:([0-9])(?:[.]0)?>", r"gpl-$1.0-or-later"),
     (r"<gpl:([0-9])>", r"gpl-$1.0"),
     (r"<agpl:([0-9])>", r"agpl-$1.0"),
     (r"<lgpl:([0-9.]*[0-9])>", r"lgpl-$1"),
@@ -87,18 +93,27 @@ def _replaced(text: Column, steps: tuple) -> Column:
     return reduce(lambda t, step: F.regexp_replace(t, step[0], step[1]), steps, text)
 
 
-def _identifier(sentence: Column) -> Column:
-    found = F.lit(None).cast("string")
-    for pattern, name in reversed(SENTENCES):
-        exact = F.regexp_replace(
-            F.regexp_extract(sentence, f"({pattern})", 1), f"^.*?{pattern.lstrip('^')}.*$", name
-        )
-        found = F.when(sentence.rlike(pattern), exact).otherwise(found)
-    return found
+def _identifiers(sentence: Column) -> Column:
+    """Of all known wordings in their order; an empty array if there is none."""
+    whole = "|".join(re.sub(r"\((?![?])", "(?:", pattern) for pattern, _ in SENTENCES)
+
+    def named(wording: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for pattern, name in reversed(SENTENCES):
+            full = f"^(?:{pattern})$"
+            exact = F.regexp_replace(wording, full, name)
+            found = F.when(wording.rlike(full), exact).otherwise(found)
+        return found
+
+    return F.transform(F.regexp_extract_all(sentence, F.lit(whole), F.lit(0)), named)
+
+
+def _spelled(pattern: str, name: str):
+    return lambda hit: F.regexp_replace(hit, pattern, name)
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, sentences, licenses, n_unknown``: the identifiers of the known sentences
+    """``key, sentences, licenses, n_unknown``: the identifiers of the known wordings
     in order, the licenses that the rules find (each once, in the order of the
     rules), both joined by single spaces, and the number of sentences with a cue that
     are not known.
@@ -113,7 +128,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     def named(sentence: Column) -> Column:
         return F.transform(
-            F.array(_replaced(sentence, NORMAL)), lambda s: F.coalesce(_identifier(s), F.lit(""))
+            F.array(_replaced(sentence, NORMAL)), _identifiers
         )[0]
 
     def cut(value: Column) -> Column:
@@ -121,7 +136,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         lowered = F.transform(sentences, lambda s: F.lower(s))
         return F.transform(F.filter(lowered, cued), named)
 
-    none = F.expr("cast(array() AS array<string>)")
+    none = F.expr("cast(array() AS array<array<string>>)")
     ids = F.when(cued(F.lower(whole)), cut(whole)).otherwise(none)
     rows = docs.select(F.col(key), ids.alias("__ids"))
 
@@ -129,17 +144,16 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         rest = F.array_join(F.transform(ids, lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")
         out = []
         for pattern, name in RULES:
-            hit = F.regexp_extract(rest, f"({pattern})", 1)
-            out.append(F.when(hit != "", F.regexp_replace(hit, pattern, name)))
+            hits = F.regexp_extract_all(rest, F.lit(pattern), F.lit(0))
+            out.append(F.transform(hits, _spelled(pattern, name)))
             rest = F.regexp_replace(rest, pattern, "|")  # what is left stays apart
-        return F.array_compact(F.array(*out))
+        return F.concat(*out)
 
-    known = F.filter("__ids", lambda x: x != "")
-    rows = rows.withColumn("__known", known)
+    rows = rows.withColumn("__known", F.flatten("__ids"))
     licenses = F.when(F.size("__known") > 0, F.array_distinct(licensed(F.col("__known"))))
     return rows.select(
         F.col(key),
         F.array_join("__known", " ").alias("sentences"),
         F.coalesce(F.array_join(licenses, " "), F.lit("")).alias("licenses"),
-        (F.size("__ids") - F.size("__known")).cast("long").alias("n_unknown"),
+        F.size(F.filter("__ids", lambda x: F.size(x) == 0)).cast("long").alias("n_unknown"),
     )

@@ -8,11 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A text without any of these in lower case holds no known sentence.
+#: A text without any of these, in lower case and with single spaces for all that is no
+#: letter, digit, dot or plus, holds no known wording.
 CUES = (
     "licen", "copyright", "permission", "rights reserved", "redistribut", "warrant",
-    "public domain", "creative commons", "unencumbered", "cc by",
+    "public domain", "creative commons", "unencumbered", "cc by", "cc0", "endorse",
+    "later",
 )
+LOOSE = r"[^a-z0-9.+]+"
 
 #: What versions may be followed by: a license "or later" has no fixed one.
 LATER = r"(?: of the license)? or(?: at your option)? (?:any )?later"
@@ -23,14 +26,17 @@ FIXED = rf"(?![0-9.]*[0-9]|{LATER})"
 #: place the first. Groups go into the identifier.
 SENTENCES = (
     (r"spdx license identifier ([a-z0-9.+-]+)", r"spdx:$1"),
-    (r"cc (by(?:-nc)?(?:-sa|-nd)?) ([0-9.]*[0-9])", r"cc:$1-$2"),
+    (r"cc[ -](by(?:-nc)?(?:-sa|-nd)?)[ -]([0-9.]*[0-9])", r"cc:$1-$2"),
     (r"creative commons attribution ([0-9.]*[0-9])", r"cc:by-$1"),
     (r"creative commons zero|cc0", r"cc0"),
     (rf"gnu affero general public license(?: as published.*?)? version ([0-9]){FIXED}", r"agpl:$1"),
     (rf"gnu lesser general public license(?: as published.*?)? version ([0-9.]*[0-9]){FIXED}", r"lgpl:$1"),
     (rf"gnu general public license(?: as published.*?)? version ([0-9]){FIXED}", r"gpl:$1"),
     (rf"version ([0-9.]*[0-9]){LATER}(?: version)?", r"later:$1"),
+    (r"gnu affero general public license", r"agpl-named"),
+    (r"gnu (?:lesser|library) general public license", r"lgpl-named"),
     (r"gnu general public license", r"gpl-named"),
+    (r"^either version ([0-9.]*[0-9]) of the license", r"later:$1"),
     (r"apache license version 2.0", r"apache-named"),
     (r"not use this (?:file|work) except in compliance with the license", r"apache-file"),
     (r"obtain a copy of the license at", r"apache-copy"),
@@ -61,6 +67,9 @@ RULES = (
     (r"<isc-grant>", r"isc"),
     (r"<apache-named>(?:<apache-file>)?(?:<apache-copy>)?(?:<apache-basis>)?", r"apache-2.0"),
     (r"<gpl-named><later:([0-9])(?:[.]0)?>", r"gpl-$1.0-or-later"),
+    (r"<agpl-named><later:([0-9])(?:[.]0)?>", r"agpl-$1.0-or-later"),
+    (r"<lgpl-named><later:([0-9])>", r"lgpl-$1.0-or-later"),
+    (r"<lgpl-named><later:([0-9][.][0-9]+)>", r"lgpl-$1-or-later"),
     (r"<gpl:([0-9])>", r"gpl-$1.0"),
     (r"<agpl:([0-9])>", r"agpl-$1.0"),
     (r"<lgpl:([0-9.]*[0-9])>", r"lgpl-$1"),
@@ -69,15 +78,16 @@ RULES = (
     (r"<cc0>", r"cc0-1.0"),
     (r"<unlicense>", r"unlicense"),
     (r"<gpl-named>", r"gpl"),
+    (r"<agpl-named>", r"agpl"),
+    (r"<lgpl-named>", r"lgpl"),
     (r"<reserved>", r"proprietary"),
 )
 
-#: Ends of sentences: punctuation before white space, empty lines, lines that begin
-#: with a capital letter.
+#: Ends of sentences: punctuation before white space, empty lines, copyright lines.
 ENDS = (
     (r"([.!?;])[ \t\r\n]+", "$1\u0001"),
     (r"\n[ \t\r]*\n", "\u0001"),
-    (r"\n([A-Z])", "\u0001$1"),
+    (r"\n[ \t]*((?:\([Cc]\) )?Copyright )", "\u0001$1"),
 )
 
 #: Steps to a normalised sentence: letters, digits, inner dots and hyphens remain.
@@ -124,7 +134,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
 
     def cued(value: Column) -> Column:
-        return reduce(lambda a, b: a | b, (F.contains(value, F.lit(c)) for c in CUES))
+        loose = F.array(F.regexp_replace(F.lower(value), LOOSE, " "))
+        return F.exists(
+            loose, lambda v: reduce(lambda a, b: a | b, (F.contains(v, F.lit(c)) for c in CUES))
+        )
 
     def named(sentence: Column) -> Column:
         return F.transform(
@@ -137,7 +150,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         return F.transform(F.filter(lowered, cued), named)
 
     none = F.expr("cast(array() AS array<array<string>>)")
-    ids = F.when(cued(F.lower(whole)), cut(whole)).otherwise(none)
+    ids = F.when(cued(whole), cut(whole)).otherwise(none)
     rows = docs.select(F.col(key), ids.alias("__ids"))
 
     def licensed(ids: Column) -> Column:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachgrid.llm import bpe, licenses, neighbours, packing, pii, quality, simhash, warc
-from reachgrid.llm import token_counts, token_files
+from reachgrid.llm import bpe, licenses, mixing, neighbours, packing, pii, quality, repair
+from reachgrid.llm import simhash, token_counts, token_files, trie, warc
+from reachgrid.llm.shared import store
 
 #: Words of a shingle and differing bits, as the query's contract fixes them.
 SHINGLE_WORDS = 4
@@ -107,6 +108,37 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def _crc32(*parts: Column) -> Column:
+    return F.crc32(F.concat_ws(":", *parts).cast("binary"))
+
+
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    convs = _table(spark, folder, "conversations")
+    key = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    rows = repair.read_rows(convs, "conv_id", "turn", "role", "text")
+    rows = repair.damaged(rows, _crc32(*key) % 20)
+    found, edited = repair.repair(rows, ids=convs.select("conv_id"))
+    digests = repair.spelled_digests(edited).withColumnRenamed("conv_id", "__conv")
+    return found.join(digests, found["conv_id"].eqNullSafe(digests["__conv"]), "left").select(
+        *found.columns, F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
+def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    convs = _table(spark, folder, "conversations")
+    turns = store(trie.turns_of(convs, "conv_id", "turn", "role", "text"), "turns")
+    conv = F.col("conv_id")
+    rebuilt = trie.with_shared_start(turns, conv - conv % 100, (_crc32(conv.cast("string")) % 6).cast("int"))
+    return trie.trie(rebuilt)
+
+
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mix(_table(spark, folder, "documents"), (3, 1, 2), share=1.5, most=2)
+    return found.withColumnRenamed("key", "doc_id").select(
+        "doc_id", "size", "source_size", "target", "taken", "position"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": simhash_dedup,
     "op2_packing": pack_tokens,
@@ -118,4 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": section_tokens,
     "op9_quality_rules": quality_rules,
     "op10_nearest": nearest_vectors,
+    "op11_conversation_repair": conversation_repair,
+    "op12_prefix_trie": prefix_trie,
+    "op13_source_mix": source_mix,
 }

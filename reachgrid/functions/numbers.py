@@ -39,20 +39,46 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double")) * F.lit(100.0)
 
 
+# A wide decimal: whole numbers are exact, fractions rounded at the sixth decimal.
+EXACT = "decimal(38,6)"
+
+
+def exact_product(value: Column, weight: Column, copies: Column | None = None) -> Column:
+    """Sum of ``value * weight * copies`` over the rows with a weight other than 0, the
+    same to the last bit in whatever order a distributed sum is taken."""
+    times = F.lit(1) if copies is None else copies
+    product = value * weight.cast("double") * times
+    return F.sum(F.when(weight != 0, product).cast(EXACT))
+
+
+def exact_weight(value: Column, weight: Column, copies: Column | None = None) -> Column:
+    """Sum of ``weight * copies`` over the rows with a value, just as exact."""
+    times = F.lit(1) if copies is None else copies
+    return F.sum(F.when(value.isNotNull(), weight.cast("double") * times).cast(EXACT))
+
+
+def unknown_weight(value: Column, weight: Column) -> Column:
+    """Whether a row has a value, but no weight."""
+    return F.max(value.isNotNull() & weight.isNull())
+
+
+def mean_of_sums(weighted: Column, weights: Column, unknown: Column) -> Column:
+    ratio = F.try_divide(weighted.cast("double"), weights.cast("double"))
+    return F.when(~unknown, ratio)
+
+
 def weighted_mean(value: Column, weight: Column, copies: Column | None = None) -> Column:
     """Mean of ``value`` weighted by ``weight``, each row counted ``copies`` times.
 
     Rows without a value are left out. A row with a value but no weight makes
-    the mean of its group unknown; a zero weight has no influence.
+    the mean of its group unknown; a zero weight has no influence. Sums are exact,
+    so that the result does not depend on how the rows are partitioned.
     """
-    times = F.lit(1) if copies is None else copies
-    known = value.isNotNull()
-    unknown_weight = F.max(known & weight.isNull())
-    weighted = F.sum(
-        F.when(known & (weight != 0), value * weight.cast("double") * times)
+    return mean_of_sums(
+        exact_product(value, weight, copies),
+        exact_weight(value, weight, copies),
+        unknown_weight(value, weight),
     )
-    weights = F.sum(F.when(known, weight * times)).cast("double")
-    return F.when(~unknown_weight, F.try_divide(weighted, weights))
 
 
 def count_values(value: Column) -> Column:

@@ -7,10 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachgrid.functions.numbers import count_values, minutes, no_nan, total
+from reachgrid.functions.numbers import (
+    count_values,
+    exact_product,
+    minutes,
+    no_nan,
+    percent,
+    total,
+)
 from reachgrid.operators.difference import fahrzeit_differenz_zusammenfassung
 from reachgrid.operators.nearest import nearest_single
-from reachgrid.operators.rows import count_rows, repeat_rows
+from reachgrid.operators.rows import repeat_rows
+from reachgrid.operators.smallest import COPIES, NEXT_SECONDS, smallest_times, two_nearest
 from reachgrid.operators.summary import fahrzeit_zusammenfassung
 from reachgrid.schema import CELL, HOSPITAL, PEOPLE, SECONDS, require_columns
 
@@ -48,33 +56,67 @@ def schliessung_simulieren(
     )
 
 
+def schliessungen_einzeln(
+    data: DataFrame, by: list[str], units: DataFrame
+) -> DataFrame:
+    """Change of travel times if one hospital closes, for every hospital at once.
+
+    A row per hospital and unit in which it is the nearest of a cell; it equals the
+    row that ``schliessung_simulieren`` gives for this hospital alone. In all other
+    units the closure changes nothing. Rows without a hospital cannot close.
+
+    The travel times are reduced to the two nearest hospitals of each cell, in one
+    scan. Where the nearest one closes, the other one's time takes its place; sums
+    over the units come from those over hospitals and units, as every cell has one
+    nearest hospital. ``units`` has a row per cell.
+    """
+    require_columns(units, [CELL, PEOPLE, *by])
+    cells = two_nearest(data).join(
+        units.select(*dict.fromkeys([CELL, PEOPLE, *by])), CELL, "left"
+    )
+    cells = cells.withColumn("_people", no_nan(cells, PEOPLE))
+    people, known = F.col("_people"), F.col(SECONDS).isNotNull()
+    lost = known & F.col(NEXT_SECONDS).isNull()
+    change = F.col(NEXT_SECONDS) - F.col(SECONDS)
+    sums = cells.groupBy(HOSPITAL, *by).agg(
+        total(people).alias("_everyone"),
+        total(F.when(known, people)).alias("_weights"),
+        F.count_if(known & people.isNull()).alias("_unknown"),
+        total(F.when(lost, people)).alias("_lost"),
+        F.count_if(lost & people.isNull()).alias("_lost_unknown"),
+        exact_product(change, people).alias("_weighted"),
+        total(F.when(change > 0, people)).alias("Anzahl_Betroffene"),
+    )
+    of_unit = Window.partitionBy(*by)
+    whole = {c: F.sum(c).over(of_unit) for c in ("_everyone", "_weights", "_unknown")}
+    sums = sums.withColumns({f"{c}_unit": value for c, value in whole.items()})
+    mean = F.try_divide(
+        minutes(F.coalesce(F.col("_weighted"), F.lit(0))),
+        (F.col("_weights_unit") - F.col("_lost")).cast("double"),
+    )
+    certain = F.col("_unknown_unit") == F.col("_lost_unknown")
+    return sums.filter(F.col(HOSPITAL).isNotNull()).select(
+        HOSPITAL,
+        *by,
+        F.col("_everyone_unit").alias("Einwohner_Gesamt"),
+        F.when(certain, mean).alias("Mittlere_Gewichtete_Fahrzeit_Differenz"),
+        "Anzahl_Betroffene",
+        percent(F.col("Anzahl_Betroffene"), F.col("_everyone_unit")).alias("Prozent_Betroffene"),
+    )
+
+
 def redundanz_analyse(data: DataFrame, n: int = 2) -> DataFrame:
     """The ``n`` nearest hospitals per cell, more where the last ones tie.
 
-    The first ``n`` times of a cell are found without their ties, of which a
-    task keeps no more than ``n``. All rows with these times are then counted,
-    ranked by their counts and written out again, so that a large group of
-    copies is never ranked row by row.
+    The times are reduced to the smallest of each cell, in one scan. All rows with
+    these times are counted, ranked by their counts and written out again, so that a
+    large group of copies is never ranked row by row.
     """
-    known = data.select(CELL, HOSPITAL, SECONDS).filter(F.col(SECONDS).isNotNull())
-    times = (
-        known.select(F.col(CELL).alias("_cell"), F.col(SECONDS).alias("_seconds"))
-        .withColumn(
-            "_row",
-            F.row_number().over(Window.partitionBy("_cell").orderBy("_seconds")),
-        )
-        .filter(F.col("_row") <= n)
-        .select("_cell", "_seconds")
-        .distinct()
-    )
-    same = F.col(CELL).eqNullSafe(F.col("_cell")) & (F.col(SECONDS) == F.col("_seconds"))
-    kept = known.join(times, same, "left_semi")
+    counted = smallest_times(data, n)
     in_order = Window.partitionBy(CELL).orderBy(SECONDS, HOSPITAL)
-    before = F.sum("_copies").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    counted = count_rows(kept, [CELL, HOSPITAL, SECONDS], "_copies").withColumn(
-        "_before", F.coalesce(before, F.lit(0))
-    )
-    return repeat_rows(counted, "_copies", "_copy").select(
+    before = F.sum(COPIES).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = counted.withColumn("_before", F.coalesce(before, F.lit(0)))
+    return repeat_rows(ranked, COPIES, "_copy").select(
         CELL, HOSPITAL, SECONDS, (F.col("_before") + F.col("_copy")).alias(RANK)
     )
 

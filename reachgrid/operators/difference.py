@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reachgrid.functions.numbers import minutes, no_nan, percent, total, weighted_mean
@@ -55,9 +55,13 @@ def _null_safe_left_join(left: DataFrame, right: DataFrame, keys: list[str]) ->
     return left.join(right, same, "left").drop(*(f"_{k}" for k in keys))
 
 
-def _with_difference(joined: DataFrame) -> DataFrame:
-    change = no_nan(joined, SECONDS + SCENARIO) - no_nan(joined, SECONDS + REFERENCE)
-    return joined.withColumn(DIFFERENCE, minutes(change))
+def change_of(joined: DataFrame) -> Column:
+    """Seconds more in the scenario than in the reference."""
+    return no_nan(joined, SECONDS + SCENARIO) - no_nan(joined, SECONDS + REFERENCE)
+
+
+def with_difference(joined: DataFrame) -> DataFrame:
+    return joined.withColumn(DIFFERENCE, minutes(change_of(joined)))
 
 
 def difference_cells(
@@ -73,7 +77,7 @@ def difference_cells(
     """
     keys = keys or DEFAULT_KEYS
     left, right = _suffixed(reference, scenario, keys)
-    return _with_difference(_null_safe_left_join(left, right, keys))
+    return with_difference(_null_safe_left_join(left, right, keys))
 
 
 def fahrzeit_differenz_zusammenfassung(
@@ -117,15 +121,17 @@ def difference_of_times(times: DataFrame, units: DataFrame, by: list[str]) -> Da
 def _summed(joined: DataFrame, by: list[str]) -> DataFrame:
     """The summary of matched rows that stand for ``_left`` times ``_right`` pairs."""
     require_columns(joined, [PEOPLE, *by])
-    joined = _with_difference(joined)
     pairs = F.col("_left") * F.coalesce(F.col("_right"), F.lit(1))
-    prepared = joined.withColumns({"_pairs": pairs, "_people": no_nan(joined, PEOPLE)})
+    prepared = joined.withColumns(
+        {"_pairs": pairs, "_people": no_nan(joined, PEOPLE), "_change": change_of(joined)}
+    )
     people, pairs = F.col("_people"), F.col("_pairs")
     everyone = total(people * pairs)
-    worse = total(F.when(F.col(DIFFERENCE) > 0, people * pairs))
+    change = F.col("_change")
+    worse = total(F.when(change > 0, people * pairs))
     return prepared.groupBy(*by).agg(
         everyone.alias("Einwohner_Gesamt"),
-        weighted_mean(F.col(DIFFERENCE), people, pairs).alias(
+        minutes(weighted_mean(change, people, pairs)).alias(
             "Mittlere_Gewichtete_Fahrzeit_Differenz"
         ),
         worse.alias("Anzahl_Betroffene"),

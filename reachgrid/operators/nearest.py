@@ -1,16 +1,19 @@
 """The nearest hospitals of a scenario for every grid cell.
 
 A cell or a group of equal rows may be a large part of the table, so nothing
-here gathers the rows of a cell: minima and counts are combined on the map
-side first. On 36 million times, joining the minima back took half as long as
-counting all times and a quarter as long as counting all rows.
+here gathers the rows of a cell: every task reduces what it reads to the smallest
+times of its cells, and the travel times are read once (see ``smallest``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reachgrid.operators.rows import repeat_rows
+from reachgrid.operators.smallest import smallest_times
 from reachgrid.schema import (
     ADMIN_COLUMNS,
     CELL,
@@ -46,40 +49,47 @@ def minimum_times(times: DataFrame) -> DataFrame:
     return times.groupBy(CELL).agg(F.min(SECONDS).alias("min_fahrzeit"))
 
 
+def listed_times(travel_times: DataFrame, **lists: DataFrame) -> DataFrame:
+    """Travel times to the hospitals of any of the lists, with a column per list: how
+    often the hospital is in it. Rows without a cell or a time are left out."""
+    rows = []
+    for name, listed in lists.items():
+        require_columns(listed, [HOSPITAL])
+        flags = [F.lit(int(other == name)).alias(other) for other in lists]
+        rows.append(listed.select(HOSPITAL, *flags))
+    listed = reduce(DataFrame.unionByName, rows).groupBy(HOSPITAL)
+    listed = listed.agg(*(F.sum(name).alias(name) for name in lists))
+    times = travel_times.select(HOSPITAL, CELL, SECONDS).join(listed, HOSPITAL)
+    return times.filter(F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull())
+
+
 def nearest_hospitals(
     travel_times: DataFrame, hospitals: DataFrame, ties: str = "all"
 ) -> DataFrame:
     """The nearest hospitals per cell: all of them, or one where they tie.
 
-    ``"all"`` takes the minima, which shrink on the map side, and keeps the
-    times equal to them. Cell and time are both join keys: the rows of a large
-    cell are spread by their times, and the ones tied for it stand on the side
-    of the join that may be split between tasks. Minima are unique per cell, so
-    an inner join keeps the same rows as a semi join, which the optimizer would
-    move below the join with the hospitals, and so shuffle all travel times.
-    ``"one"`` takes the smallest hospital number. A cell without any known time
-    has no nearest hospital.
+    ``"all"`` reduces the times to the smallest of each cell, in one scan and one
+    shuffle of what is left, and writes rows that were counted out again. ``"one"``
+    takes the smallest hospital number. A cell without any known time has no nearest
+    hospital.
     """
     one_of(ties, ("all", "one"), "ties")
-    times = scenario_times(travel_times, hospitals)
     if ties == "one":
+        times = scenario_times(travel_times, hospitals)
         return nearest_single(times.filter(F.col(SECONDS).isNotNull()))
-    best = minimum_times(times).withColumnRenamed("min_fahrzeit", SECONDS)
-    return times.join(best, [CELL, SECONDS]).select(*times.columns)
+    counted = nearest_counted(travel_times, hospitals)
+    return repeat_rows(counted, COPIES, "_number").select(HOSPITAL, CELL, SECONDS)
 
 
 def nearest_counted(
     travel_times: DataFrame, hospitals: DataFrame, ties: str = "all"
 ) -> DataFrame:
-    """The nearest hospitals with equal rows counted.
-
-    The time of a cell is one, so it need not be part of the key; without it
-    the join before stays free to split the rows of a large cell.
-    """
-    nearest = nearest_hospitals(travel_times, hospitals, ties)
-    return nearest.groupBy(HOSPITAL, CELL).agg(
-        F.min(SECONDS).alias(SECONDS), F.count(F.lit(1)).alias(COPIES)
-    )
+    """The nearest hospitals with equal rows counted."""
+    if ties != "all":
+        nearest = nearest_hospitals(travel_times, hospitals, ties)
+        return nearest.withColumn(COPIES, F.lit(1).cast("long"))
+    times = listed_times(travel_times, **{COPIES: hospitals})
+    return smallest_times(times, lists=(COPIES,)).select(HOSPITAL, CELL, SECONDS, COPIES)
 
 
 def nearest_single(times: DataFrame, by: str = CELL) -> DataFrame:
@@ -107,55 +117,43 @@ def nearest_times(
     This is all a summary needs of ``nearest_hospitals``. It leaves the cells
     where the next join, with their units, wants them.
     """
-    nearest = nearest_hospitals(travel_times, hospitals, ties)
-    known = nearest.filter(F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull())
-    return known.groupBy(CELL).agg(
-        F.min(SECONDS).alias(SECONDS), F.count(F.lit(1)).alias(COPIES)
+    nearest = nearest_counted(travel_times, hospitals, ties)
+    return nearest.filter(F.col(CELL).isNotNull()).groupBy(CELL).agg(
+        F.min(SECONDS).alias(SECONDS), F.sum(COPIES).alias(COPIES)
     )
 
 
+def nearest_compared(
+    travel_times: DataFrame, reference: DataFrame, scenario: DataFrame
+) -> DataFrame:
+    """``Krankenhaus_Standortnummer, Gitterzellen_ID, Fahrzeit_Sekunden`` of all rows
+    that are nearest in a reference or in a scenario, and how often in each, from one
+    scan of the travel times."""
+    names = (COPIES + REFERENCE, COPIES + SCENARIO)
+    times = listed_times(travel_times, **dict(zip(names, (reference, scenario))))
+    return smallest_times(times, lists=names).select(HOSPITAL, CELL, SECONDS, *names)
+
+
 def nearest_times_compared(
     travel_times: DataFrame, reference: DataFrame, scenario: DataFrame
 ) -> DataFrame:
     """Shortest known times per cell to the hospitals of a reference and to those
     of a scenario, each with the number of hospitals that share it.
 
-    Both minima come from one aggregation and both counts from one join back, so
-    the travel times are read twice whatever is compared. Cells the reference
-    does not reach are absent; a hospital listed twice counts twice.
+    The travel times are read once whatever is compared. Cells the reference does
+    not reach are absent; a hospital listed twice counts twice.
     """
-    require_columns(reference, [HOSPITAL])
-    require_columns(scenario, [HOSPITAL])
-    sides = [
-        df.select(HOSPITAL, F.lit(r).alias("_ref"), F.lit(1 - r).alias("_sc"))
-        for df, r in ((reference, 1), (scenario, 0))
-    ]
-    listed = sides[0].unionByName(sides[1]).groupBy(HOSPITAL)
-    listed = listed.agg(F.sum("_ref").alias("_ref"), F.sum("_sc").alias("_sc"))
-    times = travel_times.select(HOSPITAL, CELL, SECONDS).join(listed, HOSPITAL)
-    times = times.filter(F.col(SECONDS).isNotNull() & F.col(CELL).isNotNull())
-
-    def least(number: str):
-        return F.min(F.when(F.col(number) > 0, F.col(SECONDS)))
-
-    best = times.groupBy(CELL).agg(
-        least("_ref").alias(SECONDS + REFERENCE), least("_sc").alias(SECONDS + SCENARIO)
-    )
-    minima = [SECONDS + REFERENCE, SECONDS + SCENARIO]
-    # a row per cell and minimum; where both are equal, one row
-    marks = best.filter(F.col(SECONDS + REFERENCE).isNotNull()).select(
-        CELL, *minima, F.explode(F.array_distinct(F.array(*minima))).alias(SECONDS)
-    )
-    met = times.join(marks, [CELL, SECONDS])
+    rows = nearest_compared(travel_times, reference, scenario)
+    ends = (REFERENCE, SCENARIO)
 
-    def ties(minimum: str, number: str):
-        return F.sum(F.when(F.col(SECONDS) == F.col(minimum), F.col(number)))
+    def least(end: str):
+        return F.min(F.when(F.col(COPIES + end) > 0, F.col(SECONDS)))
 
-    return met.groupBy(CELL).agg(
-        *(F.min(m).alias(m) for m in minima),
-        ties(minima[0], "_ref").alias(COPIES + REFERENCE),
-        ties(minima[1], "_sc").alias(COPIES + SCENARIO),
+    found = rows.groupBy(CELL).agg(
+        *(least(end).alias(SECONDS + end) for end in ends),
+        *(F.sum(F.when(F.col(COPIES + e) > 0, F.col(COPIES + e))).alias(COPIES + e) for e in ends),
     )
+    return found.filter(F.col(SECONDS + REFERENCE).isNotNull())
 
 
 def cell_table(

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from reachgrid.functions.numbers import (
     count_values,
+    exact_product,
+    exact_weight,
+    mean_of_sums,
     minutes,
     no_nan,
     percent,
     total,
+    unknown_weight,
     weighted_mean,
 )
 from reachgrid.schema import (
@@ -27,9 +31,11 @@ from reachgrid.schema import (
 )
 
 _PEOPLE = "_people"
+_SECONDS = "_seconds"
 _MINUTES = "_minutes"
 _COPIES = "_copies"
 
+MEAN = "Mittlere_Gewichtete_Fahrzeit"
 COVERAGE = "Prozent_Abgedeckt_pro_Gemeinde"
 CELLS_REACHED = "Anzahl_Gitterzellen"
 CELLS_INHABITED = "Anzahl_bewohnte_Gitterzellen"
@@ -49,6 +55,7 @@ def _prepare(data: DataFrame, copies: str | None) -> DataFrame:
     return data.withColumns(
         {
             _PEOPLE: no_nan(data, PEOPLE),
+            _SECONDS: no_nan(data, SECONDS),
             _MINUTES: minutes(no_nan(data, SECONDS)),
             _COPIES: F.col(copies) if copies else F.lit(1),
         }
@@ -94,9 +101,7 @@ def summary_columns(thresholds: list[float]) -> list[Column]:
     copies = F.col(_COPIES)
     return [
         total(people * copies).alias("Einwohner_Gesamt"),
-        weighted_mean(F.col(_MINUTES), people, copies).alias(
-            "Mittlere_Gewichtete_Fahrzeit"
-        ),
+        minutes(weighted_mean(F.col(_SECONDS), people, copies)).alias(MEAN),
         count_values(F.col(CELL)).alias(CELLS_REACHED),
         *_threshold_columns(thresholds),
     ]
@@ -136,25 +141,28 @@ def summarise_times(
     require_columns(travel_times, [CELL, SECONDS])
     require_columns(units, [CELL, PEOPLE, *by])
     thresholds = clean_thresholds(grenzwert_minuten)
-    time = minutes(no_nan(travel_times, SECONDS))
+    seconds = no_nan(travel_times, SECONDS)
+    time = minutes(seconds)
     names = {t: f"_beyond_{i}" for i, t in enumerate(thresholds)}
     cells = travel_times.groupBy(CELL).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(time).alias("_known"),
-        F.sum(time).alias("_sum"),
+        F.sum(seconds).alias("_sum"),
         *(F.count_if(time > F.lit(float(t))).alias(n) for t, n in names.items()),
     )
     joined = cells.join(units, CELL, "left").withColumn(_PEOPLE, no_nan(units, PEOPLE))
     people = F.col(_PEOPLE)
     everyone = total(people * F.col("_rows"))
-    # The mean of the cell means, each weighted with its people and its times.
-    mean = F.try_divide(F.col("_sum"), F.col("_known"))
+    # All times of a cell have the same weight.
+    mean = mean_of_sums(
+        exact_product(F.col("_sum"), people),
+        exact_weight(F.col("_sum"), people, F.col("_known")),
+        unknown_weight(F.col("_sum"), people),
+    )
     beyond = {t: total(people * F.col(n)) for t, n in names.items()}
     return joined.groupBy(*by).agg(
         everyone.alias("Einwohner_Gesamt"),
-        weighted_mean(mean, people, F.col("_known")).alias(
-            "Mittlere_Gewichtete_Fahrzeit"
-        ),
+        minutes(mean).alias(MEAN),
         count_values(F.col(CELL)).alias(CELLS_REACHED),
         *_affected_columns(beyond, everyone),
     )
@@ -174,6 +182,38 @@ def threshold_of_times(
     )
 
 
+def partial_columns(thresholds: list[float], reached: Column) -> list[Column]:
+    """Sums of a small unit from which ``rolled_up`` makes those of larger ones."""
+    people, copies, seconds = F.col(_PEOPLE), F.col(_COPIES), F.col(_SECONDS)
+    return [
+        total(people * copies).alias("_people_sum"),
+        exact_product(seconds, people, copies).alias("_weighted"),
+        exact_weight(seconds, people, copies).alias("_weights"),
+        unknown_weight(seconds, people).alias("_unknown"),
+        F.sum(reached).alias("_reached"),
+        *(affected(t).alias(f"_beyond_{i}") for i, t in enumerate(thresholds)),
+    ]
+
+
+def rolled_up(thresholds: list[float]) -> list[Column]:
+    """``summary_columns`` from the sums of smaller units and from the cells that may
+    be in several of them, in ``_cell``."""
+    people = total(F.col("_people_sum"))
+    mean = mean_of_sums(F.sum("_weighted"), F.sum("_weights"), F.max("_unknown"))
+    beyond = {t: total(F.col(f"_beyond_{i}")) for i, t in enumerate(thresholds)}
+    return [
+        people.alias("Einwohner_Gesamt"),
+        minutes(mean).alias(MEAN),
+        (F.sum("_reached") + F.count_distinct("_cell")).alias(CELLS_REACHED),
+        *_affected_columns(beyond, people),
+    ]
+
+
+def prepared_rows(data: DataFrame, copies: str | None = None) -> DataFrame:
+    """The rows with what ``partial_columns`` needs."""
+    return _prepare(data, copies)
+
+
 def level_of(verwaltungsebene: str) -> Level:
     return LEVELS[one_of(verwaltungsebene, LEVELS, "Verwaltungsebene")]
 

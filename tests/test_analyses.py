@@ -11,6 +11,7 @@ from reachgrid.operators.analyses import (
     naechstes_krankenhaus,
     redundanz_analyse,
     schliessung_simulieren,
+    schliessungen_einzeln,
     zeitreihen_vergleich,
 )
 from tests.conftest import rows
@@ -53,6 +54,35 @@ def test_closure(spark):
     assert found[None].Anzahl_Betroffene == 0
 
 
+def test_every_closure_at_once_equals_each_alone(spark):
+    random.seed(12)
+    names = ["a", "b", "c", "d", None]
+    data = [
+        (f"c{random.randint(0, 25)}", random.choice(names), random.choice([None, 1, 60, 90, 600]))
+        for _ in range(90)
+    ]
+    data += [("copies", "a", 5)] * 60 + [("copies", "b", 5), ("lonely", "d", 3), (None, "c", 7)]
+    times = spark.createDataFrame(data, SCHEMA.rpartition(", Einwohner")[0])
+    cells = {d[0] for d in data if d[0] is not None}
+    units = spark.createDataFrame(
+        [(c, random.choice([None, 0, 10, 25]), random.choice(["X", "Y", None])) for c in sorted(cells)],
+        "Gitterzellen_ID string, Einwohner long, Kreis string",
+    )
+    keys = ["Gitterzellen_ID", "Einwohner", "Kreis"]
+    every = defaultdict(dict)
+    for r in schliessungen_einzeln(times, ["Kreis"], units).collect():
+        every[r.Krankenhaus_Standortnummer][r.Kreis] = tuple(r)[2:]
+    assert set(every) <= set(names) - {None}
+    for name in names[:-1]:
+        closed = spark.createDataFrame([(name,)], "Krankenhaus_Standortnummer string")
+        alone = schliessung_simulieren(times, closed, ["Kreis"], keys, units).collect()
+        for r in alone:
+            if r.Kreis in every[name]:
+                assert every[name][r.Kreis] == pytest.approx(tuple(r)[1:]), (name, r)
+            else:
+                assert not r.Anzahl_Betroffene and not r.Mittlere_Gewichtete_Fahrzeit_Differenz
+
+
 def test_reach_includes_the_limit(spark):
     df = erreichbare_gebiete(table(spark, *DATA), "a", 10)
     assert [r.Gitterzellen_ID for r in df.collect()] == ["1"]

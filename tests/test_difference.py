@@ -162,7 +162,7 @@ def test_times_of_both_sides_in_two_scans(spark):
     assert rows(difference_of_times(both, units, ["Kreis"])) == rows(whole)
 
 
-def test_travel_times_are_read_twice(spark, tmp_path):
+def test_travel_times_are_read_once(spark, tmp_path):
     path = str(tmp_path / "ed")
     spark.createDataFrame(
         [("c", "h", 1)],
@@ -171,4 +171,4 @@ def test_travel_times_are_read_twice(spark, tmp_path):
     listed = spark.createDataFrame([("h",)], "Krankenhaus_Standortnummer string")
     both = nearest_times_compared(spark.read.parquet(path), listed, listed)
     plan = both._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parquet") == 2
+    assert plan.count("parquet") == 1

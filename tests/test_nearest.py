@@ -4,6 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from reachgrid.operators import smallest
+from reachgrid.operators.analyses import redundanz_analyse
 from reachgrid.operators.nearest import (
     cell_table,
     cell_units,
@@ -11,7 +13,9 @@ from reachgrid.operators.nearest import (
     minimum_times,
     nearest_hospitals,
     nearest_times,
+    nearest_times_compared,
 )
+from reachgrid.operators.smallest import two_nearest
 from reachgrid.schema import LAYOUT_COMBINED, LAYOUT_SPLIT
 
 FACT = "Gitterzellen_ID string, Krankenhaus_Standortnummer string, Fahrzeit_Sekunden int"
@@ -76,20 +80,87 @@ def test_either_way_the_same_cells_are_reached(spark):
     assert found["one"] == found["all"] == {"1", "3"}
 
 
+def plan_of(df) -> str:
+    """The physical plan as it is before anything has run."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[text.rindex("Initial Plan") :] if "Initial Plan" in text else text
+
+
+@pytest.fixture
+def stored_times(spark, tmp_path):
+    data = [(str(i % 40), f"h{i % 7}", i % 11) for i in range(400)]
+    fact(spark, data).write.parquet(f"{tmp_path}/times")
+    return spark.read.parquet(f"{tmp_path}/times")
+
+
 @pytest.mark.parametrize("limit", ["-1", "10485760"])
-def test_hospitals_are_joined_before_the_times_are_shuffled(spark, limit):
-    """In the optimized plan the join with the minima is the outer one."""
+def test_times_are_read_once_and_shuffled_by_cell_once(spark, stored_times, limit):
+    """One scan, and what is shuffled are states: the hospitals join before."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    listed = hospitals(spark, "h1", "h2", "h2")
     try:
-        data = [("1", "a", 60), ("1", "b", 90)]
-        df = nearest_hospitals(fact(spark, data), hospitals(spark, "a"))
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        plans = {
+            "hospitals": plan_of(nearest_hospitals(stored_times, listed)),
+            "times": plan_of(nearest_times(stored_times, listed)),
+            "compared": plan_of(
+                nearest_times_compared(stored_times, listed, hospitals(spark, "h3"))
+            ),
+            "redundancy": plan_of(redundanz_analyse(stored_times, 3)),
+            "two": plan_of(two_nearest(stored_times)),
+        }
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    joins = [line for line in plan.splitlines() if "Join " in line]
-    assert "LeftSemi" not in plan
-    assert "Fahrzeit_Sekunden" in joins[0] and "Krankenhaus_Standortnummer" in joins[1]
+    for name, plan in plans.items():
+        lines = plan.splitlines()
+        assert sum("FileScan" in line for line in lines) == 1, name
+        by_cell = [line for line in lines if "hashpartitioning(Gitterzellen_ID" in line]
+        # the second one deals out the chunks of counted rows
+        assert len(by_cell) <= 2 and sum("_chunk" not in line for line in by_cell) <= 1, plan
+        state = next(i for i, line in enumerate(lines) if "MapInArrow" in line)
+        assert not any("Join" in line for line in lines[:state]), name
+        if name in ("hospitals", "times", "compared"):
+            assert any("Join" in line for line in lines[state:]), name
+
+
+def test_states_are_the_same_however_often_they_are_merged(spark, monkeypatch):
+    """Tasks that reduce after a few rows, and hand states on early."""
+    random.seed(8)
+    data = [
+        (random.choice([None, "a", "b", "c"]), random.choice([None, "x", "y", "z"]),
+         random.choice([None, *range(6)]))
+        for _ in range(500)
+    ]
+    known = [r for r in data if r[2] is not None]
+    for n in (1, 2, 3, 9):
+        expected = Counter(
+            r for r in known if sum(o[0] == r[0] and o[2] < r[2] for o in known) < n
+        )
+        for read, held in ((500_000, 2_000_000), (7, 9)):
+            monkeypatch.setattr(smallest, "READ_ROWS", read)
+            monkeypatch.setattr(smallest, "HELD_ROWS", held)
+            found = smallest.smallest_times(fact(spark, data).repartition(3), n).collect()
+            got = {tuple(r[:3]): r[3] for r in found}
+            assert got == expected and len(found) == len(got)
+
+
+def test_two_nearest_hospitals_of_every_cell(spark, monkeypatch):
+    random.seed(9)
+    data = [
+        (f"c{random.randint(0, 60)}", random.choice([None, "x", "y", "z"]),
+         random.choice([None, 1, 2, 3]))
+        for _ in range(300)
+    ]
+    data += [("copies", "x", 4)] * 200 + [("copies", "y", 9), ("alone", "x", 1), ("none", "x", None)]
+    monkeypatch.setattr(smallest, "READ_ROWS", 50)
+    order = lambda r: (r[2] is None, r[2] or 0, r[1] is not None, r[1] or "")
+    for r in two_nearest(fact(spark, data).repartition(4)).collect():
+        own = [d for d in data if d[0] == r.Gitterzellen_ID]
+        first = min(own, key=order)
+        others = [d[2] for d in own if d[1] != first[1] and d[2] is not None]
+        assert (r[1], r[2]) == first[1:]
+        assert r.Naechste_Sekunden == (min(others) if others else None)
+    assert two_nearest(fact(spark, [])).count() == 0
 
 
 def test_minimum_of_unknown_times_is_unknown(spark):

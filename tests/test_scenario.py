@@ -1,11 +1,18 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from reachgrid.functions.geometry import point_wkb
 from reachgrid.plans.extracts import geofilter, klinikfilter, komplettexport, run_geofilter
+from reachgrid.operators.difference import difference_cells
 from reachgrid.plans.scenario import (
+    ScenarioTables,
     read_tables,
     scenario_all_levels,
+    scenario_cells,
+    scenario_difference,
+    scenario_difference_cells,
     scenario_summary,
     szenario_berechnung,
 )
@@ -141,6 +148,104 @@ def test_all_levels_equal_each_level(spark, snapshot, hospitals_csv):
         assert rows(part.select(*single.columns), key) == rows(single, key)
 
 
+def random_tables(spark, seed, twice=True):
+    """Cells of which some are mapped to several municipalities, or to one twice."""
+    rng = random.Random(seed)
+    mapping = [(f"c{i}", f"m{rng.randint(0, 9)}", rng.choice([None, 0, rng.randint(1, 999)]))
+               for i in range(80)]
+    if twice:
+        mapping += [(c, f"m{rng.randint(0, 9)}", p) for c, _, p in mapping[:20]] + mapping[:5]
+    units = [
+        (f"m{i}", f"Ort {i}", f"m{i}", f"K {i % 4}", f"k{i % 4}", f"R {i % 2}", f"r{i % 2}", "L", "l")
+        for i in range(8)
+    ]
+    times = [
+        (f"c{rng.randint(0, 89)}", f"h{rng.randint(0, 9)}", rng.choice([None, *range(0, 4000, 130)]))
+        for _ in range(900)
+    ]
+    return ScenarioTables(
+        spark.createDataFrame(
+            times, "Gitterzellen_ID string, Krankenhaus_Standortnummer string, Fahrzeit_Sekunden int"
+        ),
+        spark.createDataFrame(
+            mapping, "Gitterzellen_ID string, Gemeindeschluessel string, Einwohner long"
+        ),
+        spark.createDataFrame(units, ", ".join(f"{c} string" for c in ADMIN_COLUMNS)),
+    )
+
+
+def hospital_list(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "Krankenhaus_Standortnummer string")
+
+
+def test_all_levels_of_cells_that_are_mapped_several_times(spark):
+    tables = random_tables(spark, 1)
+    listed = hospital_list(spark, "h1", "h2", "h3", "h3")
+    together = scenario_all_levels(tables, listed, 20)
+    for name, level in LEVELS.items():
+        single = scenario_summary(tables, listed, name, 20)
+        part = together.filter(F.col("Ebene") == name).select(
+            F.col("Einheit_ID").alias(level.id_col),
+            F.col("Einheit").alias(level.name_col),
+            *[c for c in single.columns if c not in (level.id_col, level.name_col)],
+        )
+        assert rows(part.select(*single.columns), level.id_col) == rows(single, level.id_col)
+
+
+def test_cells_are_not_exploded_to_levels(spark, tmp_path):
+    """The only rows written once per level are those of municipalities."""
+    tables = random_tables(spark, 2)
+    df = scenario_all_levels(tables, hospital_list(spark, "h1"), 20)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    generated = [i for i, line in enumerate(lines) if "Generate explode" in line]
+    assert len(generated) == 2
+    for at in generated:
+        below = next(line for line in lines[at:] if "Aggregate [" in line)
+        assert "_cell" in below
+
+
+def test_sums_do_not_depend_on_partitions(spark):
+    """The same bits, however the rows are dealt out."""
+    found = set()
+    for parts in (1, 3, 7):
+        tables = random_tables(spark, 3)
+        tables = ScenarioTables(
+            tables.travel_times.repartition(parts), tables.cells.repartition(parts), tables.admin_units
+        )
+        listed = hospital_list(spark, *(f"h{i}" for i in range(8)))
+        means = scenario_summary(tables, listed, "Kreis", 20)
+        changes = scenario_difference(tables, listed, hospital_list(spark, "h1", "h2"), ["Kreis"])
+        both = rows(means, "Kreis_ID"), rows(changes, "Kreis")
+        found.add(repr(both))
+    assert len(found) == 1
+
+
+def test_difference_cells_in_one_scan_equal_those_of_two_tables(spark):
+    tables = random_tables(spark, 4, twice=False)
+    reference = hospital_list(spark, "h1", "h2", "h3", "h3", "h9")
+    scenario = hospital_list(spark, "h2", "h5", "h5")
+    one = scenario_difference_cells(tables, reference, scenario)
+    two = difference_cells(scenario_cells(tables, reference), scenario_cells(tables, scenario))
+    assert sorted(one.columns) == sorted(two.columns)
+    assert rows(one.select(*two.columns)) == rows(two)
+
+
+def test_difference_cells_read_the_times_once(spark, tmp_path):
+    tables = random_tables(spark, 5)
+    tables.travel_times.write.parquet(f"{tmp_path}/times")
+    stored = ScenarioTables(
+        spark.read.parquet(f"{tmp_path}/times"), tables.cells, tables.admin_units
+    )
+    listed = hospital_list(spark, "h1"), hospital_list(spark, "h2")
+    for df in (
+        scenario_difference_cells(stored, *listed),
+        scenario_difference(stored, *listed, ["Kreis"]),
+        scenario_all_levels(stored, listed[0], 20),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Fahrzeit_Sekunden") and plan.count("Relation [") == 1
+
+
 def test_cells(spark, snapshot, hospitals_csv):
     df = szenario_berechnung(
         spark, hospitals_csv, snapshot, return_gitterzellen_daten=True

@@ -60,6 +60,7 @@ from reachgrid.plans.scenario import (
     scenario_all_levels,
     scenario_cells,
     scenario_difference,
+    scenario_difference_cells,
     scenario_summary,
 )
 from reachgrid.schema import (
@@ -308,6 +309,11 @@ def coverage_filter(m: Model) -> DataFrame:
 
 
 def difference_cells_query(m: Model) -> DataFrame:
+    return scenario_difference_cells(m.tables(), m.all_hospitals, m.scenario)
+
+
+def difference_of_cells(m: Model) -> DataFrame:
+    """The same from two tables of cell rows, as they are read from files."""
     tables = m.tables()
     return difference_cells(
         scenario_cells(tables, m.all_hospitals), scenario_cells(tables, m.scenario)
@@ -443,6 +449,10 @@ def closure_impact(m: Model) -> DataFrame:
     )
 
 
+def closure_each(m: Model) -> DataFrame:
+    return analyses.schliessungen_einzeln(m.travel_times, ["Kreis"], units(m))
+
+
 def redundancy(m: Model) -> DataFrame:
     return analyses.redundanz_analyse(m.travel_times, 3)
 
@@ -487,6 +497,7 @@ _BY_NAME: dict[str, Callable[[Model], DataFrame]] = {
     "global_coverage": global_coverage,
     "coverage_filter": coverage_filter,
     "difference_cells": difference_cells_query,
+    "difference_of_cells": difference_of_cells,
     "difference_summary": difference_summary,
     "geofilter_match": lambda m: match_template(m.template, m.admin_units),
     "geofilter_unmatched": lambda m: unmatched_template_rows(m.template, m.admin_units),
@@ -521,6 +532,7 @@ _BY_NAME: dict[str, Callable[[Model], DataFrame]] = {
     "ewkb_clean": ewkb_clean,
     "nearest_single": nearest_single,
     "closure_impact": closure_impact,
+    "closure_each": closure_each,
     "redundancy": redundancy,
     "isochrone": isochrone,
     "catchment": catchment,

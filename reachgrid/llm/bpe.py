@@ -13,11 +13,17 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reachgrid.llm.shared import UnitEncoder, texts_of, worker_value
+from reachgrid.llm.shared import CACHED_UNIT_CHARS, UnitEncoder, texts_of, worker_value
 
 #: Remembered answers on which tokens may stand side by side.
 CACHED_PAIRS = 2_000_000
 
+#: Pieces of units whose ids a worker remembers.
+CACHED_PIECES = 400_000
+
+#: Bytes of a long piece that are matched at once, longer than any token.
+PART = 1_024
+
 NEVER = 1 << 62
 
 
@@ -32,9 +38,9 @@ class Backtracker:
 
     A sequence of tokens is what the merges would give if each two neighbours are
     what the merges give for their joined bytes. So the encoder takes the longest
-    token at each place (found by one pass of an Aho-Corasick automaton over the
-    bytes as Latin-1 characters) and falls back to shorter ones where neighbours do
-    not go together; places that turned out to lead nowhere are not tried again.
+    token at each place (found by an Aho-Corasick automaton over the bytes as Latin-1
+    characters) and falls back to shorter ones where neighbours do not go together;
+    places that turned out to lead nowhere are not tried again.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -42,13 +48,16 @@ class Backtracker:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.edges: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         self.shorter: dict[int, int] = {}
-        self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        self.widest = max(map(len, ranks))
+        self.sizes = [0] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a single byte."""
@@ -115,35 +124,47 @@ class Backtracker:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        longest = [(0, -1)] * n
-        for end, match in self.automaton.iter(piece.decode("latin-1")):
-            start = end - match[0] + 1
-            if match > longest[start]:
-                longest[start] = match
-        dead = bytearray(n + 1)
+        spelled = piece.decode("latin-1")
+        n, sizes, known = len(spelled), self.sizes, self.pairs.get
+        dead: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[0][1]
+        at, last = 0, -1
         while at < n:
-            while token >= 0:
-                end = at + self.sizes[token]
-                if not dead[end]:
-                    if not out:
-                        break
-                    fits = self.pairs.get((out[-1], token))
-                    if self.together(out[-1], token) if fits is None else fits:
-                        break
-                token = self.shortened(token)
-            if token >= 0:
+            stop = at + PART
+            sure = n if stop >= n else stop - self.widest
+            # the longest token at each place, one after the other
+            for _, token in self.automaton.iter_long(spelled[at:stop]):
+                if at > sure:  # it may be longer than this part shows
+                    break
+                end = at + sizes[token]
+                fits = last < 0 or known((last, token))
+                if fits is None:
+                    fits = self.together(last, token)
+                if not fits or end in dead:
+                    at = self.shorten(out, token, at, dead)
+                    last = out[-1]
+                    break
                 out.append(token)
-                at = end
-                token = longest[at][1] if at < n else -1
-            else:
-                dead[at] = 1
+                at, last = end, token
+        return out
+
+    def shorten(self, out: list[int], token: int, at: int, dead: set[int]) -> int:
+        """Put a shorter token where this one does not go together with the last, or
+        one place back; returns the place after it."""
+        token = self.shortened(token)
+        while True:
+            if token < 0:
+                dead.add(at)
                 last = out.pop()
                 at -= self.sizes[last]
                 token = self.shortened(last)
-        return out
+            elif at + self.sizes[token] not in dead and (
+                not out or self.together(out[-1], token)
+            ):
+                out.append(token)
+                return at + self.sizes[token]
+            else:
+                token = self.shortened(token)
 
 
 def rank_units(path: str, pattern: str) -> UnitEncoder:
@@ -151,13 +172,20 @@ def rank_units(path: str, pattern: str) -> UnitEncoder:
         encoder = Backtracker(read_ranks(path))
         pieces = regex.compile(pattern)
 
+        known: dict[str, bytes] = {}
+
+        def piece_ids(piece: str) -> bytes:
+            value = known.get(piece)
+            if value is None:
+                value = array("i", encoder.encode(piece.encode())).tobytes()
+                if len(known) < CACHED_PIECES and len(piece) <= CACHED_UNIT_CHARS:
+                    known[piece] = value
+            return value
+
         def encode_units(units: list[str]) -> list[bytes]:
             values = []
             for unit in units:
-                ids: list[int] = []
-                for piece in pieces.findall(unit):
-                    ids += encoder.encode(piece.encode())
-                values.append(array("i", ids).tobytes())
+                values.append(b"".join([piece_ids(piece) for piece in pieces.findall(unit)]))
             return values
 
         return UnitEncoder(encode_units, keep_space=True)

@@ -2,112 +2,118 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachgrid.llm.shared import UnitEncoder, texts_of, worker_value
+from reachgrid.llm.shared import library_units, texts_of, worker_value
 
 #: To which section a token goes that several touch: that of its first character,
 #: or that of its last.
 RULES = ("first", "last")
 
-COUNTS = "array<struct<n_tokens:long,n_crossing:long>>"
-
+COUNTS = "array<struct<start:long,end:long,n_tokens:long,n_crossing:long>>"
 
-def span_units(path: str) -> UnitEncoder:
-    """Units as the (first, last) character of each token, counted from the unit's
-    beginning, the space before it included; the last pair is (length, length)."""
 
-    def build() -> UnitEncoder:
-        import os
+def token_bytes(path: str) -> np.ndarray:
+    """The number of bytes that each id of a byte-level vocabulary stands for."""
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def build() -> np.ndarray:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
+        sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            sizes[i] = len(token)  # a letter for each byte
+        return sizes
 
-        def encode_units(units: list[str]) -> list[bytes]:
-            encoded = tokenizer.encode_batch(units, add_special_tokens=False)
-            values = []
-            for unit, found in zip(units, encoded):
-                spans = [(a, max(a, b - 1)) for a, b in found.offsets]
-                values.append(np.array([*spans, (len(unit), len(unit))], "<i4").tobytes())
-            return values
+    return worker_value(("token bytes", path), build)
 
-        return UnitEncoder(encode_units, keep_space=True)
 
-    return worker_value(("spans", path), build)
+def token_spans(text: str, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last characters of a document's tokens. Tokens cover its bytes without
+    gaps; one that begins or ends within a character holds that character."""
+    ends = np.cumsum(sizes[ids])
+    starts = ends - sizes[ids]
+    data = text.encode()
+    if len(data) == len(text):
+        return starts, ends - 1
+    begins = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+    character = np.cumsum(begins) - 1
+    return character[starts], character[ends - 1]
 
 
-def token_spans(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """First and last characters of a document's tokens, from those of its units."""
-    flat = np.frombuffer(b"".join(values), "<i4").reshape(-1, 2).astype(np.int64)
-    rows = np.fromiter((len(v) // 8 for v in values), np.int64, len(values))
-    ends = np.cumsum(rows) - 1
-    lengths = flat[ends, 0]
-    shift = np.repeat(np.cumsum(lengths) - lengths, rows)
-    inner = np.ones(len(flat), bool)
-    inner[ends] = False
-    return flat[inner, 0] + shift[inner], flat[inner, 1] + shift[inner]
+def line_bounds(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """First characters and ends of the lines, the line end being part of its line."""
+    ends = np.cumsum(np.array([len(line) + 1 for line in text.split("\n")], np.int64))
+    starts = np.concatenate(([0], ends[:-1]))
+    ends[-1] -= 1
+    return starts, ends
 
 
-def line_sections(text: Column) -> Column:
-    """The lines of a text as ``start, end``, the line end being part of its line."""
-    lines = F.split(text, "\n")
+def counted(text: Column, sections: Column | None, path: str, rule: str = "first") -> Column:
+    """Per section ``start, end, n_tokens``, by the rule, and ``n_crossing``, those of
+    them that reach beyond the section.
 
-    def step(state: Column, line: Column) -> Column:
-        end = state["at"] + F.length(line) + 1
-        return F.struct(end.alias("at"), F.concat(state["ends"], F.array(end)).alias("ends"))
+    ``sections`` are ``start, end`` in code points, end exclusive, in order and without
+    overlap, tokens between them going to none; without them the lines are taken.
+    """
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {RULES}")
 
-    first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<int>)").alias("ends"))
-    ends = F.aggregate(lines, first, step)["ends"]
-    return F.transform(F.array(ends), lambda e: F.transform(
-        e,
-        lambda end, i: F.struct(
-            F.coalesce(F.get(e, i - 1), F.lit(0)).alias("start"),
-            F.least(end, F.length(text)).alias("end"),
-        ),
-    ))[0]
+    def rows(texts: pa.Array, bounds: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+        units, sizes = library_units(path, keep_space=True), token_bytes(path)
+        columns, lengths = [], [0]
+        whole = list(texts_of(texts))
+        for string, values, (starts, ends) in zip(whole, units.encode(whole), bounds):
+            n = len(starts)
+            lengths.append(lengths[-1] + n)
+            if not n:
+                continue
+            first, last = token_spans(string, np.frombuffer(b"".join(values), "<u4"), sizes)
+            at = first if rule == "first" else last
+            owner = np.searchsorted(starts, at, "right") - 1
+            inside = (owner >= 0) & (at < ends[owner])
+            owner, first, last = owner[inside], first[inside], last[inside]
+            over = (first < starts[owner]) | (last >= ends[owner])
+            columns.append((
+                starts, ends, np.bincount(owner, minlength=n),
+                np.bincount(owner[over], minlength=n),
+            ))
+        none = [np.empty(0, np.int64)]
+        arrays = [
+            pa.array(np.concatenate([c[i] for c in columns] or none).astype(np.int64))
+            for i in range(4)
+        ]
+        found = pa.StructArray.from_arrays(arrays, ["start", "end", "n_tokens", "n_crossing"])
+        return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), found)
 
+    if sections is None:
 
-def counted(text: Column, sections: Column, path: str, rule: str = "first") -> Column:
-    """Per section ``n_tokens``, by the rule, and ``n_crossing``, those of them that
-    reach beyond the section.
+        @F.arrow_udf(COUNTS)
+        def of_lines(texts: pa.Array) -> pa.Array:
+            return rows(texts, map(line_bounds, texts_of(texts)))
 
-    ``sections`` are ``start, end`` in code points, end exclusive, in order and
-    without overlap; tokens between sections go to none.
-    """
-    if rule not in RULES:
-        raise ValueError(f"rule must be one of {RULES}")
+        return of_lines(text)
 
-    @F.arrow_udf(COUNTS)
-    def count(texts: pa.Array, sections: pa.Array) -> pa.Array:
-        units = span_units(path)
-        tokens, crossing, sizes = [], [], [0]
-        for values, held in zip(units.encode(texts_of(texts)), sections):
+    def given(sections: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for held in sections:
             spans = held.values if held.is_valid else None
-            n = 0 if spans is None else len(spans)
-            if n:
-                starts = spans.field("start").to_numpy().astype(np.int64)
-                ends = spans.field("end").to_numpy().astype(np.int64)
-                first, last = token_spans(values)
-                at = first if rule == "first" else last
-                owner = np.searchsorted(starts, at, "right") - 1
-                inside = (owner >= 0) & (at < ends[owner])
-                owner, first, last = owner[inside], first[inside], last[inside]
-                over = (first < starts[owner]) | (last >= ends[owner])
-                tokens.append(np.bincount(owner, minlength=n))
-                crossing.append(np.bincount(owner[over], minlength=n))
-            sizes.append(sizes[-1] + n)
-        none = [np.empty(0, np.int64)]
-        both = [pa.array(np.concatenate(x or none).astype(np.int64)) for x in (tokens, crossing)]
-        rows = pa.StructArray.from_arrays(both, ["n_tokens", "n_crossing"])
-        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), rows)
+            if spans is None or not len(spans):
+                yield np.empty(0, np.int64), np.empty(0, np.int64)
+            else:
+                yield tuple(
+                    spans.field(c).to_numpy().astype(np.int64) for c in ("start", "end")
+                )
+
+    @F.arrow_udf(COUNTS)
+    def of_sections(texts: pa.Array, sections: pa.Array) -> pa.Array:
+        return rows(texts, given(sections))
 
-    return count(text, sections)
+    return of_sections(text, sections)
 
 
 def section_counts(
@@ -127,20 +133,14 @@ def section_counts(
     rows stay as they are; an empty table gives no rows; other columns are not read
     unless ``sections`` uses them.
     """
+    counts = counted(F.col("__text"), sections, path, rule)
     whole = F.coalesce(F.col(text), F.lit(""))
-    parts = line_sections(F.col("__text")) if sections is None else sections
-    rows = docs.withColumn("__text", whole).select(F.col(key), "__text", parts.alias("__parts"))
-    rows = rows.withColumn("__counts", counted(F.col("__text"), F.col("__parts"), path, rule))
+    rows = docs.withColumn("__text", whole).select(F.col(key), counts.alias("__counts"))
     total = F.aggregate("__counts", F.lit(0).cast("long"), lambda a, c: a + c["n_tokens"])
     rows = rows.select(
-        F.col(key),
-        total.alias("doc_tokens"),
-        F.posexplode(F.arrays_zip(F.col("__parts").alias("p"), F.col("__counts").alias("c"))).alias(
-            "section", "s"
-        ),
+        F.col(key), total.alias("doc_tokens"), F.posexplode("__counts").alias("section", "s")
     )
     return rows.select(
         key, F.col("section").cast("long").alias("section"),
-        F.col("s.p.start").cast("long").alias("start"), F.col("s.p.end").cast("long").alias("end"),
-        "s.c.n_tokens", "s.c.n_crossing", "doc_tokens",
+        "s.start", "s.end", "s.n_tokens", "s.n_crossing", "doc_tokens",
     )

@@ -1,5 +1,10 @@
 """A training corpus from raw documents: quality rules, near duplicates, personal
-data, packing. Each stage works on all that the one before it kept."""
+data, packing. Each stage works on all that the one before it kept.
+
+Null texts fail the quality rules. Null keys are kept apart by their texts; repeated
+rows go with the near duplicates, ties among which are broken by the hash of the text.
+An empty table passes all stages as one. Columns beyond those of documents stay as
+they are, up to the packing, which returns pieces."""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachgrid.llm import packing, pii, quality, shingles
+from reachgrid.llm import packing, pii, quality, simhash
 from reachgrid.llm.shared import store
 from reachgrid.session import tune
 
@@ -26,10 +31,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: those with a similarity
-    of at least 0.8 in shingles of five words."""
+    """One document of each group of near duplicates stays: SimHash fingerprints of
+    four-word shingles link at four or fewer differing bits. The one with the smallest
+    key stays."""
     tune(spark)
-    return shingles.one_of_each(docs, words=5, similarity=0.8)
+    return simhash.one_of_each(docs, words=4, bits=4)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Spark cannot write its own geometry type to Parquet, so a geometry is kept as
 plain WKB. Reading a coordinate out of WKB is the one thing the built-in
-functions cannot do; it runs in Arrow batches.
+functions cannot do; it runs on arrays of whole Arrow batches (see ``wkb``).
 """
 
 from __future__ import annotations
@@ -10,26 +10,11 @@ from __future__ import annotations
 import struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# WKB type codes, and the flags of the extended form.
-TYPE_NAMES = {
-    1: "Point",
-    2: "LineString",
-    3: "Polygon",
-    4: "MultiPoint",
-    5: "MultiLineString",
-    6: "MultiPolygon",
-    7: "GeometryCollection",
-}
-FLAG_Z = 0x80000000
-FLAG_M = 0x40000000
-FLAG_SRID = 0x20000000
-LON_LIMIT = 180.0
-LAT_LIMIT = 90.0
-
+from reachgrid.functions.wkb import TYPE_NAMES, geojson, read
 
 def strip_srid(wkb: Column) -> Column:
     """Extended WKB without its SRID; plain WKB comes back unchanged.
@@ -58,175 +43,72 @@ def normalise_geometry(df: DataFrame, column: str = "geometry") -> DataFrame:
     return df.withColumn(column, strip_srid(F.col(column)))
 
 
-class _Reader:
-    """Walks over one WKB value."""
-
-    def __init__(self, data: bytes):
-        self.data = data
-        self.at = 0
-
-    def _number(self, order: str) -> int:
-        value = struct.unpack_from(order + "I", self.data, self.at)[0]
-        self.at += 4
-        return value
-
-    def _points(self, order: str, count: int, dims: int) -> np.ndarray:
-        flat = np.frombuffer(self.data, order + "f8", count * dims, self.at)
-        self.at += count * dims * 8
-        return flat.reshape(count, dims)
-
-    def geometry(self) -> tuple[str, list]:
-        """Type name and nested coordinate arrays; parts for a collection."""
-        order = "<" if self.data[self.at] == 1 else ">"
-        self.at += 1
-        code = self._number(order)
-        dims = 2 + bool(code & FLAG_Z) + bool(code & FLAG_M)
-        if code & FLAG_SRID:
-            self.at += 4
-        code &= 0x0FFFFFFF
-        dims += (0, 1, 1, 2)[code // 1000]
-        name = TYPE_NAMES[code % 1000]
-        if name == "Point":
-            return name, self._points(order, 1, dims)
-        count = self._number(order)
-        if name == "LineString":
-            return name, self._points(order, count, dims)
-        if name == "Polygon":
-            return name, [
-                self._points(order, self._number(order), dims) for _ in range(count)
-            ]
-        return name, [self.geometry() for _ in range(count)]
-
-
-def _digits(value: float, digits: int) -> str:
-    text = f"{value:.{digits}f}"
-    if "." in text:
-        text = text.rstrip("0").rstrip(".")
-    return "0" if text in ("-0", "") else text
-
-
-def _point_text(point: np.ndarray, digits: int) -> str:
-    return "[" + ",".join(_digits(v, digits) for v in point) + "]"
-
-
-def _line_text(points: np.ndarray, digits: int) -> str:
-    return "[" + ",".join(_point_text(p, digits) for p in points) + "]"
-
-
-def _coordinates(name: str, shape, digits: int) -> str:
-    if name == "Point":
-        return "[]" if np.isnan(shape).all() else _point_text(shape[0], digits)
-    if name == "LineString":
-        return _line_text(shape, digits)
-    if name == "Polygon":
-        return "[" + ",".join(_line_text(ring, digits) for ring in shape) + "]"
-    return "[" + ",".join(_coordinates(n, s, digits) for n, s in shape) + "]"
-
-
-def _geojson(name: str, shape, digits: int) -> str:
-    if name == "GeometryCollection":
-        parts = ",".join(_geojson(n, s, digits) for n, s in shape)
-        return f'{{"type":"{name}","geometries":[{parts}]}}'
-    return f'{{"type":"{name}","coordinates":{_coordinates(name, shape, digits)}}}'
-
-
-def bounds(shape) -> tuple[float, float, float, float] | None:
-    """Smallest x and y, largest x and y; None for an empty geometry."""
-    if isinstance(shape, np.ndarray):
-        xy = shape[:, :2]
-        xy = xy[~np.isnan(xy).any(axis=1)]
-        if not len(xy):
-            return None
-        return (*map(float, xy.min(axis=0)), *map(float, xy.max(axis=0)))
-    parts = [bounds(p[1] if isinstance(p, tuple) else p) for p in shape]
-    parts = [p for p in parts if p is not None]
-    if not parts:
-        return None
-    west, south, east, north = zip(*parts)
-    return min(west), min(south), max(east), max(north)
-
-
-def read_wkb(data: bytes) -> tuple[str, list]:
-    return _Reader(bytes(data)).geometry()
-
-
-def finite(name: str, shape) -> bool:
-    """Whether all coordinates are numbers; an empty point, all NaN, is none."""
-    if name == "Point":
-        return bool(np.isfinite(shape).all() or np.isnan(shape).all())
-    if name == "LineString":
-        return bool(np.isfinite(shape).all())
-    if name == "Polygon":
-        return all(np.isfinite(ring).all() for ring in shape)
-    return all(finite(n, s) for n, s in shape)
-
-
-def _checked(data: bytes):
-    name, shape = read_wkb(data)
-    box = bounds(shape)
-    if not finite(name, shape):
-        raise ValueError("Coordinates hold NaN or infinite values")
-    if box and (max(-box[0], box[2]) > LON_LIMIT or max(-box[1], box[3]) > LAT_LIMIT):
-        raise ValueError(f"Coordinates are not longitude and latitude: {box}")
-    return name, shape
-
-
 def geojson_geometry(wkb: Column, digits: int = 4) -> Column:
     """GeoJSON text of a WKB column, coordinates rounded to ``digits``.
 
     Coordinates must be WGS84 longitude and latitude; others are an error.
     """
 
-    @F.pandas_udf("string")
-    def convert(values: pd.Series) -> pd.Series:
-        return values.map(
-            lambda v: None if v is None else _geojson(*_checked(v), digits)
-        )
+    @F.arrow_udf("string")
+    def convert(values: pa.Array) -> pa.Array:
+        shapes = read(values)
+        shapes.check()
+        return geojson(shapes, digits)
 
     return convert(wkb)
 
 
+BOUNDS = ("xmin", "ymin", "xmax", "ymax")
+
+
 def geometry_bounds(wkb: Column) -> Column:
     """Struct of geometry type and bounding box of a WKB column."""
 
-    @F.pandas_udf("type string, xmin double, ymin double, xmax double, ymax double")
-    def measure(values: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value in values:
-            name, shape = (None, []) if value is None else read_wkb(value)
-            rows.append((name, *(bounds(shape) or (None,) * 4)))
-        return pd.DataFrame(rows, columns=["type", "xmin", "ymin", "xmax", "ymax"])
+    @F.arrow_udf("struct<type:string,xmin:double,ymin:double,xmax:double,ymax:double>")
+    def measure(values: pa.Array) -> pa.Array:
+        shapes = read(values)
+        names = np.array([None, *TYPE_NAMES.values()], object)[shapes.kinds()]
+        boxes = shapes.boxes()
+        columns = [pa.array(boxes[:, i], mask=np.isnan(boxes[:, i])) for i in range(4)]
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), *columns], ["type", *BOUNDS]
+        )
 
     return measure(wkb)
 
 
-def _little_endian_wkb(code: int, counts: list[int], xy: np.ndarray) -> np.ndarray:
+def _little_endian_wkb(code: int, counts: list[int], xy: np.ndarray) -> pa.Array:
     """One WKB value per row of ``xy``, all with the same head."""
     head = np.frombuffer(struct.pack(f"<BI{len(counts)}I", 1, code, *counts), "u1")
     body = np.ascontiguousarray(xy, "<f8").view("u1").reshape(len(xy), -1)
-    return np.hstack([np.broadcast_to(head, (len(xy), len(head))), body])
+    values = np.hstack([np.broadcast_to(head, (len(xy), len(head))), body])
+    ends = np.arange(len(xy) + 1, dtype=np.int32) * values.shape[1]
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(xy), buffers)
 
 
 def point_wkb(x: Column, y: Column) -> Column:
-    """WKB point from two coordinate columns."""
+    """WKB point from two coordinate columns; a missing coordinate is NaN."""
 
-    @F.pandas_udf("binary")
-    def build(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        xy = np.column_stack([xs.to_numpy("f8"), ys.to_numpy("f8")])
-        return pd.Series([row.tobytes() for row in _little_endian_wkb(1, [], xy)])
+    @F.arrow_udf("binary")
+    def build(xs: pa.Array, ys: pa.Array) -> pa.Array:
+        return _little_endian_wkb(1, [], np.column_stack([_floats(xs), _floats(ys)]))
 
     return build(x, y)
 
 
+def _floats(column: pa.Array) -> np.ndarray:
+    return column.cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
 def square_wkb(x: Column, y: Column, side: float = 1.0) -> Column:
     """WKB square with its south-west corner at the given coordinates."""
 
-    @F.pandas_udf("binary")
-    def build(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        west, south = xs.to_numpy("f8"), ys.to_numpy("f8")
+    @F.arrow_udf("binary")
+    def build(xs: pa.Array, ys: pa.Array) -> pa.Array:
+        west, south = _floats(xs), _floats(ys)
         east, north = west + side, south + side
         ring = [west, south, east, south, east, north, west, north, west, south]
-        rows = _little_endian_wkb(3, [1, 5], np.column_stack(ring))
-        return pd.Series([row.tobytes() for row in rows])
+        return _little_endian_wkb(3, [1, 5], np.column_stack(ring))
 
     return build(x, y)

@@ -19,6 +19,10 @@ from reachgrid.sources.lists import LINE_NUMBER
 
 _MASK = "_mask"
 
+# Keys that a scan is told one by one, and ranges that it is told of longer lists.
+LISTED = 200
+RANGES = 64
+
 
 def geofilter_cells(
     municipalities: DataFrame,
@@ -65,6 +69,30 @@ def filter_by_hospitals(
     )
 
 
+def scan_condition(keys: DataFrame, column: str) -> Column:
+    """A condition that holds for every key, by which a scan can leave out row groups.
+
+    Up to LISTED keys are named one by one, so that dictionaries and Bloom filters of
+    the files answer for them; of more keys the ends of RANGES ranges are taken, as the
+    driver never holds a long list. It is a first sieve: a join with the keys decides.
+    """
+    known = keys.select(column).filter(F.col(column).isNotNull())
+    values = [row[0] for row in known.distinct().limit(LISTED + 1).collect()]
+    if len(values) <= LISTED:
+        return F.col(column).isin(*sorted(values)) if values else F.lit(False)
+    dealt = known.repartitionByRange(RANGES, column).withColumn("_range", F.spark_partition_id())
+    ends = dealt.groupBy("_range").agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    return reduce(
+        lambda a, b: a | b,
+        (F.col(column).between(row["low"], row["high"]) for row in ends.orderBy("low").collect()),
+    )
+
+
+def within(travel_times: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Travel times whose key may be one of the keys; the filter reaches the scan."""
+    return travel_times.filter(scan_condition(keys, column))
+
+
 def _mask(columns: list[str]) -> Column:
     """Number whose bits tell which of the columns carry a value."""
     bits = (F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))

@@ -19,10 +19,12 @@ from reachgrid.operators.filters import (
     geofilter_cells,
     match_template,
     unmatched_template_rows,
+    within,
 )
 from reachgrid.operators.quality import table_counts
 from reachgrid.schema import (
     ADMIN_UNITS,
+    CELL,
     CELL_MUNICIPALITY,
     CELL_PEOPLE,
     GEOMETRY,
@@ -93,6 +95,13 @@ def _write_filter(
     return path, spark.read.schema(keys.schema).parquet(path)
 
 
+def _sieved(spark: SparkSession, source: Source, keys: DataFrame, column: str) -> DataFrame:
+    """Travel times to be joined with keys; of a snapshot only row groups that may hold
+    one are read."""
+    times = source.table(spark, TRAVEL_TIMES)
+    return within(times, keys, column) if isinstance(source, Snapshot) else times
+
+
 def _write_extract(
     spark: SparkSession,
     source: Source,
@@ -105,6 +114,7 @@ def _write_extract(
     compression: str,
     chunk_size: int,
     large_tables: Iterable[str],
+    clustered: bool = False,
 ) -> Extract:
     support = list(support)
     kept = {}
@@ -120,6 +130,7 @@ def _write_extract(
         geometry_column=geometry_column,
         compression=compression,
         chunk_size=chunk_size,
+        clustered=clustered,
     )
     # Counting the written files reads their footers, not the source again.
     result = Snapshot(output_dir)
@@ -153,7 +164,8 @@ def run_geofilter(
     path, cells = _write_filter(
         spark, cells, output_dir, filter_table_name, compression
     )
-    subset = filter_by_cells(source.table(spark, TRAVEL_TIMES), cells)
+    times = _sieved(spark, source, cells, CELL)
+    subset = filter_by_cells(times, cells)
     return _write_extract(
         spark,
         source,
@@ -203,9 +215,8 @@ def klinikfilter(
     path, hospitals = _write_filter(
         spark, hospitals, output_dir, filter_table_name, compression
     )
-    subset = filter_by_hospitals(
-        source.table(spark, TRAVEL_TIMES), hospitals, dedupe_keys
-    )
+    times = _sieved(spark, source, hospitals, HOSPITAL)
+    subset = filter_by_hospitals(times, hospitals, dedupe_keys)
     return _write_extract(
         spark,
         source,
@@ -230,8 +241,9 @@ def komplettexport(
     geometry_column: str = GEOMETRY,
     compression: str = "SNAPPY",
     chunk_size: int = CHUNK_ROWS,
+    clustered: bool = False,
 ) -> Extract:
-    """Every table of a source as a snapshot."""
+    """Every table of a source as a snapshot, travel times clustered on request."""
     names = source.tables(spark) if relevant_tables == "all" else relevant_tables
     return _write_extract(
         spark,
@@ -245,4 +257,5 @@ def komplettexport(
         compression,
         chunk_size,
         LARGE_TABLES,
+        clustered,
     )

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from reachgrid.functions.geometry import bounds, read_wkb
+from reachgrid.functions.wkb import TYPE_NAMES, read
 from reachgrid.schema import GEOMETRY, require_columns
 from reachgrid.sources.tables import qualified
 
@@ -33,10 +32,6 @@ from reachgrid.sources.tables import qualified
 VERSION = "1.0.0"
 FORMAT = "geoparquet"
 
-# Start and length of a little-endian WKB point in the plane.
-POINT_HEAD = b"\x01\x01\x00\x00\x00"
-POINT_BYTES = 21
-
 # Files that the commit moves at a time.
 MOVES = 32
 
@@ -53,20 +48,13 @@ class FileInfo:
 
     def add(self, column: pa.ChunkedArray) -> None:
         for chunk in column.chunks:
-            chunk = chunk.drop_null()
-            points = _plain_points(chunk)
-            if points is not None:
-                self.types.add("Point")
-                self._widen(bounds(points))
-                continue
-            for value in chunk:
-                name, shape = read_wkb(value.as_py())
-                self.types.add(name)
-                self._widen(bounds(shape))
-
-    def _widen(self, box: tuple | None) -> None:
-        if box is not None:
-            self.box = box if self.box is None else _join(self.box, box)
+            shapes = read(chunk)
+            self.types.update(TYPE_NAMES[k] for k in np.unique(shapes.kinds()).tolist() if k)
+            boxes = shapes.boxes()
+            boxes = boxes[~np.isnan(boxes[:, 0])]
+            if len(boxes):
+                box = (*boxes[:, :2].min(0).tolist(), *boxes[:, 2:].max(0).tolist())
+                self.box = box if self.box is None else _join(self.box, box)
 
     def footer(self, column: str) -> bytes:
         # Without a CRS entry the format means WGS84 longitude and latitude.
@@ -78,19 +66,6 @@ class FileInfo:
         ).encode()
 
 
-def _plain_points(column: pa.Array) -> np.ndarray | None:
-    """Coordinates of a column of little-endian points in the plane, read at once;
-    None if it holds anything else, or nothing."""
-    lengths = pc.min_max(pc.binary_length(column)).as_py()
-    if lengths != {"min": POINT_BYTES, "max": POINT_BYTES}:
-        return None
-    values = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
-    values = values.reshape(-1, POINT_BYTES)
-    if (values[:, :5] != np.frombuffer(POINT_HEAD, np.uint8)).any():
-        return None
-    return values[:, 5:].copy().view("<f8")
-
-
 def _row_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The batches in tables of about the size of a row group."""
     waiting, size = [], 0

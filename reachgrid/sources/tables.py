@@ -55,7 +55,8 @@ class Snapshot:
         if not self.path:
             raise ValueError("path is required for a snapshot")
 
-    def _folder(self, spark: SparkSession, name: str) -> str | None:
+    def find(self, spark: SparkSession, name: str) -> str | None:
+        """Where a table lies, whole or not; None if nowhere."""
         for candidate in (f"{name}.parquet", f"{name}_chunks", name):
             full = f"{self.path.rstrip('/')}/{candidate}"
             if path_exists(spark, full):
@@ -63,7 +64,7 @@ class Snapshot:
         return None
 
     def folder(self, spark: SparkSession, name: str) -> str:
-        found = self._folder(spark, name)
+        found = self.find(spark, name)
         if found is None:
             raise FileNotFoundError(f"File not found: {self.path}/{name}.parquet")
         return found

@@ -2,13 +2,16 @@ import random
 
 import pytest
 
+from reachgrid.operators import filters
 from reachgrid.operators.filters import (
     filter_by_cells,
     filter_by_hospitals,
     geofilter_cells,
     match_template,
     unmatched_template_rows,
+    within,
 )
+from reachgrid.sinks.parquet import write_clustered
 from tests.conftest import rows
 
 UNITS = [
@@ -25,6 +28,63 @@ UNIT_SCHEMA = (
 COLUMNS = ["Bundesland", "Regierungsbezirk", "Kreis", "Gemeindename"]
 
 
+def scanned_rows(df):
+    """Rows that the scan of a collected query gave, from its metrics."""
+    df.collect()
+    plans, found = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "FileSourceScanExec":
+            found += plan.metrics().apply("numOutputRows").value()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_clustered_table_is_read_in_part(spark, tmp_path):
+    """The same rows, from a few row groups of a table clustered by cell."""
+    times = spark.range(300_000).selectExpr(
+        "lpad(string(xxhash64(id) % 5000 + 5000), 6, '0') AS Gitterzellen_ID",
+        "concat('h', string(id % 700)) AS Krankenhaus_Standortnummer",
+        "int(id % 3000) AS Fahrzeit_Sekunden",
+        "int(id) AS Fahrstrecke_Meter",
+    )
+    times.repartition(4).write.parquet(f"{tmp_path}/plain_chunks")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_clustered(times, str(tmp_path), "clustered", group_bytes=64 * 1024)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    area = spark.range(300).selectExpr("lpad(string(id + 700), 6, '0') AS Gitterzellen_ID")
+    few = area.limit(20)
+    for cells, share in ((area, 0.25), (few, 0.1)):
+        found = {}
+        for name in ("plain", "clustered"):
+            table = spark.read.parquet(f"{tmp_path}/{name}_chunks")
+            kept = filter_by_cells(within(table, cells, "Gitterzellen_ID"), cells)
+            assert rows(kept) == rows(filter_by_cells(table, cells))
+            sieve = within(table, cells, "Gitterzellen_ID").select("Fahrstrecke_Meter")
+            found[name] = scanned_rows(sieve)
+        assert found["clustered"] < share * found["plain"] and found["plain"] > 250_000
+
+
+def test_scan_conditions(spark, monkeypatch):
+    monkeypatch.setattr(filters, "LISTED", 3)
+    monkeypatch.setattr(filters, "RANGES", 4)
+    table = spark.createDataFrame([(c,) for c in "abcdefghijklmn"] + [(None,)], "k string")
+    for listed in ("", "b", "nab", "acegikm"):
+        keys = spark.createDataFrame([(c,) for c in listed] + [(None,), (None,)], "k string")
+        kept = {r.k for r in table.filter(filters.scan_condition(keys, "k")).collect()}
+        assert set(listed) <= kept and None not in kept
+        if len(listed) <= 3:
+            assert kept == set(listed)
+
+
 def units(spark, data=UNITS):
     return spark.createDataFrame(data, UNIT_SCHEMA)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from reachgrid.functions.geometry import point_wkb, square_wkb
 from reachgrid.operators.quality import check_primary_key_exists, duplicate_keys, table_counts
 from reachgrid.operators.rows import CHUNK, count_rows, repeat_rows
+from reachgrid.sinks.complete import is_complete, mark_complete, read_mark
 from reachgrid.sinks.geoparquet import full_path, resolve, write_geoparquet
 from reachgrid.sinks.lists import write_list
 from reachgrid.sinks.parquet import (
@@ -119,6 +120,50 @@ def test_geoparquet_of_polygons_and_missing_geometries(spark, tmp_path):
     assert read_geoparquet(spark, path).filter("geometry IS NULL").count() == 1
 
 
+def test_copies_are_complete_or_absent(spark, tmp_path):
+    """Whatever a lost run has left is no table."""
+    source, target = tmp_path / "source", tmp_path / "target"
+    for name in ("a", "b", "c", "d", "e"):
+        spark.range(30).repartition(3).write.parquet(f"{source}/{name}.parquet")
+    (target / "a.parquet" / "_temporary" / "0").mkdir(parents=True)  # no file yet
+    spark.range(30).repartition(3).write.parquet(f"{target}/b.parquet")
+    mark_complete(spark, f"{target}/b.parquet")
+    parts(target / "b.parquet")[0].unlink()  # a file has gone
+    spark.range(10).write.parquet(f"{target}/c.parquet")
+    (target / "c.parquet" / "_SUCCESS").unlink()  # never committed
+    spark.range(30).selectExpr("id AS other").write.parquet(f"{target}/d.parquet")
+    spark.range(7).write.parquet(f"{target}/e.parquet")  # somebody else's, committed
+    tables = Snapshot(str(source))
+    assert copy_tables(spark, tables, str(target), "all") == ["a", "b", "c", "d"]
+    for name, n in (("a", 30), ("b", 30), ("c", 30), ("d", 30), ("e", 7)):
+        assert spark.read.parquet(f"{target}/{name}.parquet").count() == n
+        assert is_complete(spark, f"{target}/{name}.parquet")
+    assert copy_tables(spark, tables, str(target), "all") == []
+    (target / "a.parquet" / "_complete.json").write_text("{")  # a mark cut short
+    assert copy_tables(spark, tables, str(target), ["a"]) == []  # committed all the same
+    (target / "a.parquet" / "_SUCCESS").unlink()
+    assert copy_tables(spark, tables, str(target), ["a"]) == ["a"]
+
+
+def test_marks_tell_missing_rows(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(5).write.parquet(path)
+    with pytest.raises(RuntimeError, match="Incomplete"):
+        mark_complete(spark, path, 6)
+    with pytest.raises(RuntimeError, match="Incomplete"):
+        mark_complete(spark, str(tmp_path / "absent"))
+    mark_complete(spark, path, 5)
+    assert read_mark(spark, path) == {"rows": 5, "columns": [["id", "bigint"]]}
+    assert not is_complete(spark, str(tmp_path / "absent"))
+    assert not is_complete(spark, path, spark.range(1).selectExpr("id AS x"))
+    # a file that was cut off has no footer; a whole one needs no mark
+    whole = parts(path)[0].read_bytes()
+    (tmp_path / "cut.parquet").write_bytes(whole[:-20])
+    (tmp_path / "whole.parquet").write_bytes(whole)
+    assert not is_complete(spark, str(tmp_path / "cut.parquet"))
+    assert is_complete(spark, str(tmp_path / "whole.parquet"))
+
+
 def test_router(spark, tmp_path):
     tables = {
         "plain": spark.range(3),

@@ -70,9 +70,11 @@ from reachgrid.schema import (
     GEOMETRY,
     LAYOUT_COMBINED,
     LAYOUT_SPLIT,
+    TRAVEL_TIMES,
     TRAVEL_TIMES_SUBSET,
 )
 from reachgrid.session import scratch
+from reachgrid.sinks.complete import mark_complete
 from reachgrid.sinks.geoparquet import write_geoparquet
 from reachgrid.sinks.lists import write_list
 from reachgrid.sinks.parquet import (
@@ -83,7 +85,7 @@ from reachgrid.sinks.parquet import (
     write_partitioned,
 )
 from reachgrid.sources.lists import read_template
-from reachgrid.sources.tables import Snapshot, read_chunks, read_geoparquet
+from reachgrid.sources.tables import Snapshot, list_names, read_chunks, read_geoparquet
 from workload.model import Model
 
 CREATED_AT = "2024-01-01T00:00:00Z"
@@ -171,6 +173,27 @@ def copied_tables(m: Model) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def copy_repaired(m: Model) -> DataFrame:
+    """Copies over what lost runs have left: a folder without files, a table of which
+    files are missing, and whole tables, which stay."""
+    folder = scratch(m.spark, "copy")
+    source = Snapshot(m.folder)
+    names = ["customer", "lineitem", "nation", "orders", "supplier"]
+    copy_tables(m.spark, source, folder, names[2:])
+    lost = m.spark._jvm.org.apache.hadoop.fs.Path
+    system = lost(folder).getFileSystem(m.spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(lost(f"{folder}/customer.parquet/_temporary/0"))
+    spread = m.raw("lineitem").repartition(3)
+    spread.write.parquet(f"{folder}/lineitem.parquet")
+    mark_complete(m.spark, f"{folder}/lineitem.parquet")
+    parts = [n for n in list_names(m.spark, f"{folder}/lineitem.parquet") if n.startswith("part-")]
+    system.delete(lost(f"{folder}/lineitem.parquet/{parts[0]}"), False)
+    copied = copy_tables(m.spark, source, folder, names)
+    copy = Snapshot(folder)
+    counts = table_counts({n: copy.table(m.spark, n) for n in names})
+    return counts.withColumn("kopiert", F.col("tabelle").isin(*copied))
+
+
 def partitioned_export(m: Model) -> DataFrame:
     folder = scratch(m.spark, "partitioned")
     write_partitioned(m.admin_units, folder, "Bundesland")
@@ -185,9 +208,9 @@ def _template_csv(m: Model) -> str:
     return path
 
 
-def _model_snapshot(m: Model) -> Snapshot:
+def _model_snapshot(m: Model, clustered: bool = False) -> Snapshot:
     folder = scratch(m.spark, "snapshot")
-    export_all_tables(_model_tables(m), folder)
+    export_all_tables(_model_tables(m), folder, clustered=clustered)
     return Snapshot(folder)
 
 
@@ -196,27 +219,38 @@ def template_csv(m: Model) -> DataFrame:
     return unmatched_template_rows(template, m.admin_units).drop("Zeile")
 
 
-def geofilter_run(m: Model) -> DataFrame:
-    folder = scratch(m.spark, "geofilter")
-    geofilter(
-        m.spark,
-        _template_csv(m),
-        _model_snapshot(m),
-        folder,
-        scratch(m.spark, "municipalities"),
-        tables_to_copy=[ADMIN_UNITS, CELL_MUNICIPALITY, CELL_PEOPLE],
-    )
-    return read_chunks(m.spark, folder, TRAVEL_TIMES_SUBSET)
+def geofilter_run(clustered: bool):
+    def run(m: Model) -> DataFrame:
+        folder = scratch(m.spark, "geofilter")
+        geofilter(
+            m.spark,
+            _template_csv(m),
+            _model_snapshot(m, clustered),
+            folder,
+            scratch(m.spark, "municipalities"),
+            tables_to_copy=[ADMIN_UNITS, CELL_MUNICIPALITY, CELL_PEOPLE],
+        )
+        return read_chunks(m.spark, folder, TRAVEL_TIMES_SUBSET)
 
+    return run
 
-def klinikfilter_run(m: Model) -> DataFrame:
-    hospitals = scratch(m.spark, "hospitals")
-    write_list(m.scenario, hospitals)
-    folder = scratch(m.spark, "klinikfilter")
-    klinikfilter(
-        m.spark, hospitals, _model_snapshot(m), folder, tables_to_copy=[ADMIN_UNITS]
-    )
-    return read_chunks(m.spark, folder, TRAVEL_TIMES_SUBSET)
+
+def klinikfilter_run(clustered: bool):
+    def run(m: Model) -> DataFrame:
+        hospitals = scratch(m.spark, "hospitals")
+        write_list(m.scenario, hospitals)
+        folder = scratch(m.spark, "klinikfilter")
+        snapshot = _model_snapshot(m, clustered)
+        klinikfilter(m.spark, hospitals, snapshot, folder, tables_to_copy=[ADMIN_UNITS])
+        return read_chunks(m.spark, folder, TRAVEL_TIMES_SUBSET)
+
+    return run
+
+
+def clustered_nearest(m: Model) -> DataFrame:
+    """Nearest hospitals of a clustered snapshot, whose tasks hold whole cells."""
+    times = _model_snapshot(m, clustered=True).table(m.spark, TRAVEL_TIMES)
+    return nearest_hospitals(times, m.all_hospitals)
 
 
 def full_export(m: Model) -> DataFrame:
@@ -524,10 +558,14 @@ _BY_NAME: dict[str, Callable[[Model], DataFrame]] = {
     "geoparquet_roundtrip": geoparquet_roundtrip,
     "export_router": export_router,
     "copy_tables": copied_tables,
+    "copy_repaired": copy_repaired,
     "partitioned_export": partitioned_export,
     "template_csv": template_csv,
-    "geofilter_run": geofilter_run,
-    "klinikfilter_run": klinikfilter_run,
+    "geofilter_run": geofilter_run(clustered=False),
+    "geofilter_clustered": geofilter_run(clustered=True),
+    "klinikfilter_run": klinikfilter_run(clustered=False),
+    "klinikfilter_clustered": klinikfilter_run(clustered=True),
+    "clustered_nearest": clustered_nearest,
     "full_export": full_export,
     "ewkb_clean": ewkb_clean,
     "nearest_single": nearest_single,

@@ -19,6 +19,8 @@ METRES = "Fahrstrecke_Meter"
 PEOPLE = "Einwohner"
 MUNICIPALITY = "Gemeindeschluessel"
 GEOMETRY = "geometry"
+# The box of each geometry, where a file holds it.
+BOX = "bbox"
 
 # Names of the published tables.
 TRAVEL_TIMES = "Entfernungsdaten"

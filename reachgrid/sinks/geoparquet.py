@@ -18,18 +18,21 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     WriterCommitMessage,
 )
 
+from reachgrid.functions.geometry import BOUNDS, curve_place, geometry_bounds
 from reachgrid.functions.wkb import TYPE_NAMES, read
-from reachgrid.schema import GEOMETRY, require_columns
-from reachgrid.sources.tables import qualified
+from reachgrid.schema import BOX, GEOMETRY, require_columns
+from reachgrid.sources.tables import list_names, qualified
 
-# Version and names of the file format.
+# Versions and names of the file format.
 VERSION = "1.0.0"
+COVERING_VERSION = "1.1.0"
 FORMAT = "geoparquet"
 
 # Files that the commit moves at a time.
@@ -56,26 +59,32 @@ class FileInfo:
                 box = (*boxes[:, :2].min(0).tolist(), *boxes[:, 2:].max(0).tolist())
                 self.box = box if self.box is None else _join(self.box, box)
 
-    def footer(self, column: str) -> bytes:
+    def footer(self, column: str, covering: bool = False) -> bytes:
         # Without a CRS entry the format means WGS84 longitude and latitude.
         entry: dict = {"encoding": "WKB", "geometry_types": sorted(self.types)}
         if self.box is not None:
             entry["bbox"] = list(self.box)
+        if covering:
+            entry["covering"] = {BOX: {side: [BOX, side] for side in BOUNDS}}
+        version = COVERING_VERSION if covering else VERSION
         return json.dumps(
-            {"version": VERSION, "primary_column": column, "columns": {column: entry}}
+            {"version": version, "primary_column": column, "columns": {column: entry}}
         ).encode()
 
 
-def _row_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+def _row_groups(batches: Iterable[pa.RecordBatch], group_bytes: int) -> Iterator[pa.Table]:
     """The batches in tables of about the size of a row group."""
     waiting, size = [], 0
     for batch in batches:
-        if batch.num_rows:
-            waiting.append(batch)
-            size += batch.nbytes
-        if size >= ROW_GROUP_BYTES:
-            yield pa.Table.from_batches(waiting)
-            waiting, size = [], 0
+        parts = max(1, -(-batch.nbytes // group_bytes))
+        step = max(1, -(-batch.num_rows // parts))
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
+            waiting.append(part)
+            size += part.nbytes
+            if size >= group_bytes:
+                yield pa.Table.from_batches(waiting)
+                waiting, size = [], 0
     if waiting:
         yield pa.Table.from_batches(waiting)
 
@@ -93,12 +102,14 @@ class _Writer(DataSourceArrowWriter):
     """Each task writes under a name of its own into a pending folder; the
     commit moves the files of the successful attempts into place."""
 
-    def __init__(self, path: str, schema, overwrite: bool, column: str, codec: str):
+    def __init__(self, path: str, schema, overwrite: bool, options: dict):
         self.path = path.rstrip("/")
         self.schema = schema
         self.overwrite = overwrite
-        self.column = column
-        self.codec = codec
+        self.column = options.get("geometry", GEOMETRY)
+        self.codec = options.get("compression", "snappy")
+        self.covering = options.get("covering") == "true"
+        self.group_bytes = int(options.get("groupbytes", ROW_GROUP_BYTES))
         self.pending = f"{self.path}/_pending-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
@@ -107,7 +118,7 @@ class _Writer(DataSourceArrowWriter):
         name = f"part-{uuid.uuid4().hex}.parquet"
         writer, info = None, FileInfo()
         try:
-            for table in _row_groups(iterator):
+            for table in _row_groups(iterator, self.group_bytes):
                 if writer is None:
                     writer = pq.ParquetWriter(
                         f"{folder}/{name}",
@@ -118,7 +129,7 @@ class _Writer(DataSourceArrowWriter):
                 info.add(table.column(self.column))
                 writer.write_table(table)
             if writer is not None:
-                writer.add_key_value_metadata({"geo": info.footer(self.column)})
+                writer.add_key_value_metadata({"geo": info.footer(self.column, self.covering)})
         finally:
             if writer is not None:
                 writer.close()
@@ -149,7 +160,7 @@ class _Writer(DataSourceArrowWriter):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(self.schema).with_metadata(
-            {"geo": FileInfo().footer(self.column)}
+            {"geo": FileInfo().footer(self.column, self.covering)}
         )
         pq.write_table(
             schema.empty_table(),
@@ -193,13 +204,7 @@ class GeoParquet(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(
-            self.options["path"],
-            schema,
-            overwrite,
-            self.options.get("geometry", GEOMETRY),
-            self.options.get("compression", "snappy"),
-        )
+        return _Writer(self.options["path"], schema, overwrite, self.options)
 
 
 def write_geoparquet(
@@ -208,15 +213,63 @@ def write_geoparquet(
     column: str = GEOMETRY,
     compression: str = "SNAPPY",
     mode: str = "overwrite",
+    covering: bool = False,
+    group_bytes: int = ROW_GROUP_BYTES,
 ) -> None:
-    """Write a table with a WKB column as a folder of GeoParquet files."""
+    """Write a table with a WKB column as a folder of GeoParquet files.
+
+    With ``covering`` the rows are sorted along a curve through their places, and a
+    column ``bbox`` with the box of each is added, which the footers name as its
+    covering: a reader by box then skips files and row groups.
+    """
     require_columns(df, [column])
     path = full_path(df.sparkSession, path)
     df.sparkSession.dataSource.register(GeoParquet)
+    if covering:
+        box = geometry_bounds(F.col(column)).dropFields("type")
+        df = df.withColumn(BOX, box).withColumn("_place", curve_place(F.col(BOX)))
+        df = df.repartitionByRange("_place").sortWithinPartitions("_place").drop("_place")
     (
         df.write.format(FORMAT)
         .mode(mode)
         .option("geometry", column)
         .option("compression", compression.lower())
+        .option("covering", str(covering).lower())
+        .option("groupBytes", group_bytes)
         .save(path)
     )
+
+
+def geo_entries(spark: SparkSession, path: str) -> DataFrame:
+    """``file, version, primary_column, encoding, geometry_types, bbox, covering`` of
+    the files of a folder, from their footers, which the tasks read."""
+    full = full_path(spark, path)
+    names = [n for n in list_names(spark, full) if n.endswith(".parquet")]
+    files = spark.createDataFrame([(f"{full}/{n}",) for n in names], "file string")
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for file in batch["file"].to_pylist():
+                system, place = resolve(file)
+                with system.open_input_file(place) as source:
+                    geo = json.loads(pq.ParquetFile(source).metadata.metadata[b"geo"])
+                primary = geo["primary_column"]
+                entry = geo["columns"][primary]
+                rows.append({
+                    "file": file, "version": geo["version"], "primary_column": primary,
+                    "encoding": entry["encoding"], "geometry_types": entry["geometry_types"],
+                    "bbox": entry.get("bbox"), "covering": "covering" in entry,
+                })
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    text, number = pa.string(), pa.float64()
+    schema = pa.schema([
+        ("file", text), ("version", text), ("primary_column", text), ("encoding", text),
+        ("geometry_types", pa.list_(text)), ("bbox", pa.list_(number)), ("covering", pa.bool_()),
+    ])
+    return files.mapInArrow(
+        footers,
+        "file string, version string, primary_column string, encoding string, "
+        "geometry_types array<string>, bbox array<double>, covering boolean",
+    )

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reachgrid.schema import (
+    BOX,
     CELL_MUNICIPALITY,
     CELL_PEOPLE,
     GEOMETRY,
     GEOMETRY_TABLES,
     TRAVEL_TIMES,
 )
-from reachgrid.functions.geometry import normalise_geometry
+from reachgrid.functions.geometry import BOUNDS, geometry_bounds, normalise_geometry
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -187,10 +188,28 @@ def make_source(kind: str = "postgres", path: str | None = None, **options) -> S
     raise ValueError(f"source must be 'postgres' or 'snapshot', got: {kind}")
 
 
-def read_geoparquet(spark: SparkSession, path: str) -> DataFrame:
-    """A GeoParquet folder or file; the geometry is a WKB binary column."""
+def read_geoparquet(
+    spark: SparkSession,
+    path: str,
+    box: tuple[float, float, float, float] | None = None,
+) -> DataFrame:
+    """A GeoParquet folder or file; the geometry is a WKB binary column.
+
+    ``box`` (west, south, east, north) keeps geometries whose boxes touch it. The scan
+    skips row groups by it if the file holds the boxes, in a column that is not
+    returned; without one they are measured.
+    """
     require_file_exists(spark, path)
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    covered = dict(df.dtypes).get(BOX) == f"struct<{','.join(f'{b}:double' for b in BOUNDS)}>"
+    if box is not None:
+        west, south, east, north = (float(side) for side in box)
+        own = F.col(BOX) if covered else geometry_bounds(F.col(GEOMETRY))
+        df = df.filter(
+            (own["xmin"] <= east) & (own["xmax"] >= west)
+            & (own["ymin"] <= north) & (own["ymax"] >= south)
+        )
+    return df.drop(BOX) if covered else df
 
 
 def read_chunks(spark: SparkSession, folder: str, table: str) -> DataFrame:

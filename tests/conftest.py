@@ -26,3 +26,21 @@ def rows(df, *order):
     found = [r.asDict() for r in df.collect()]
     found.sort(key=lambda r: [(r[c] is None, r[c]) for c in key])
     return [tuple(r.values()) for r in found]
+
+
+def scanned_rows(df):
+    """Rows that the scan of a collected query gave, from its metrics."""
+    df.collect()
+    plans, found = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "FileSourceScanExec":
+            found += plan.metrics().apply("numOutputRows").value()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return found

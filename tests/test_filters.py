@@ -12,7 +12,7 @@ from reachgrid.operators.filters import (
     within,
 )
 from reachgrid.sinks.parquet import write_clustered
-from tests.conftest import rows
+from tests.conftest import rows, scanned_rows
 
 UNITS = [
     ("1", "Ort A", "Kreis 1", "RB 1", "Land 1"),
@@ -28,24 +28,6 @@ UNIT_SCHEMA = (
 COLUMNS = ["Bundesland", "Regierungsbezirk", "Kreis", "Gemeindename"]
 
 
-def scanned_rows(df):
-    """Rows that the scan of a collected query gave, from its metrics."""
-    df.collect()
-    plans, found = [df._jdf.queryExecution().executedPlan()], 0
-    while plans:
-        plan = plans.pop()
-        kind = plan.getClass().getSimpleName()
-        if kind == "FileSourceScanExec":
-            found += plan.metrics().apply("numOutputRows").value()
-        if kind == "AdaptiveSparkPlanExec":
-            plans.append(plan.executedPlan())
-        elif kind.endswith("QueryStageExec"):
-            plans.append(plan.plan())
-        children = plan.children()
-        plans += [children.apply(i) for i in range(children.size())]
-    return found
-
-
 def test_a_clustered_table_is_read_in_part(spark, tmp_path):
     """The same rows, from a few row groups of a table clustered by cell."""
     times = spark.range(300_000).selectExpr(

@@ -10,7 +10,7 @@ from reachgrid.functions.geometry import point_wkb, square_wkb
 from reachgrid.operators.quality import check_primary_key_exists, duplicate_keys, table_counts
 from reachgrid.operators.rows import CHUNK, count_rows, repeat_rows
 from reachgrid.sinks.complete import is_complete, mark_complete, read_mark
-from reachgrid.sinks.geoparquet import full_path, resolve, write_geoparquet
+from reachgrid.sinks.geoparquet import full_path, geo_entries, resolve, write_geoparquet
 from reachgrid.sinks.lists import write_list
 from reachgrid.sinks.parquet import (
     copy_tables,
@@ -21,7 +21,7 @@ from reachgrid.sinks.parquet import (
 )
 from reachgrid.sources.lists import read_municipality_list
 from reachgrid.sources.tables import Snapshot, read_chunks, read_geoparquet
-from tests.conftest import rows
+from tests.conftest import rows, scanned_rows
 
 
 def parts(path):
@@ -120,6 +120,42 @@ def test_geoparquet_of_polygons_and_missing_geometries(spark, tmp_path):
     assert read_geoparquet(spark, path).filter("geometry IS NULL").count() == 1
 
 
+def test_geoparquet_by_box_skips_row_groups(spark, tmp_path):
+    """Points of a grid in no order, written along the curve."""
+    grid = spark.range(40_000).selectExpr("(id * 7919) % 40000 AS id")
+    grid = grid.selectExpr("id", "id % 200 * 0.5D - 50 AS x", "floor(id / 200) * 0.25D - 25 AS y")
+    df = grid.select("id", point_wkb(F.col("x"), F.col("y")).alias("geometry"))
+    path, plain = str(tmp_path / "covered.parquet"), str(tmp_path / "plain.parquet")
+    write_geoparquet(df, path, covering=True, group_bytes=32 * 1024)
+    write_geoparquet(df, plain)
+    assert geo_entry(parts(path)[0])["version"] == "1.1.0"
+    assert geo_entry(parts(path)[0])["columns"]["geometry"]["covering"]["bbox"]["xmin"] == ["bbox", "xmin"]
+    box = (-10.2, -5, 3.4, 2.3)
+    expected = rows(grid.filter("x BETWEEN -10.2 AND 3.4 AND y BETWEEN -5 AND 2.3").select("id"))
+    for folder in (path, plain):
+        found = read_geoparquet(spark, folder, box)
+        assert found.columns == ["id", "geometry"]
+        assert rows(found.select("id")) == expected
+    assert scanned_rows(read_geoparquet(spark, path, box)) < 8_000
+    assert scanned_rows(read_geoparquet(spark, plain, box)) == 40_000
+    entries = geo_entries(spark, path).collect()
+    assert len(entries) == len(parts(path)) and all(e.covering for e in entries)
+    assert {e.geometry_types[0] for e in entries} == {"Point"}
+    assert min(e.bbox[0] for e in entries) == -50 and max(e.bbox[3] for e in entries) == 24.75
+
+
+def test_geoparquet_by_box_of_missing_geometries(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.0), (2, None), (3, 9.0)], "id int, x double")
+    square = square_wkb(F.coalesce("x", F.lit(0.0)), F.lit(0.0))
+    df = df.select("id", F.when(F.col("x").isNotNull(), square).alias("geometry"))
+    path = str(tmp_path / "g.parquet")
+    write_geoparquet(df, path, covering=True)
+    assert rows(read_geoparquet(spark, path).select("id")) == [(1,), (2,), (3,)]
+    assert rows(read_geoparquet(spark, path, (1, 1, 5, 5)).select("id")) == [(1,)]
+    write_geoparquet(df.limit(0), path, covering=True)
+    assert read_geoparquet(spark, path, (1, 1, 5, 5)).count() == 0
+
+
 def test_copies_are_complete_or_absent(spark, tmp_path):
     """Whatever a lost run has left is no table."""
     source, target = tmp_path / "source", tmp_path / "target"

@@ -75,7 +75,7 @@ from reachgrid.schema import (
 )
 from reachgrid.session import scratch
 from reachgrid.sinks.complete import mark_complete
-from reachgrid.sinks.geoparquet import write_geoparquet
+from reachgrid.sinks.geoparquet import geo_entries, write_geoparquet
 from reachgrid.sinks.lists import write_list
 from reachgrid.sinks.parquet import (
     copy_tables,
@@ -131,9 +131,26 @@ def chunked_roundtrip(m: Model) -> DataFrame:
 
 
 def geoparquet_roundtrip(m: Model) -> DataFrame:
+    """Boxes of what was written, and what the footers of its files say."""
     path = scratch(m.spark, "geo")
     write_geoparquet(m.polygons, path)
+    entries = geo_entries(m.spark, path).select(
+        F.lit(True).alias("geo"), "version", "primary_column", "encoding",
+        F.array_join("geometry_types", ",").alias("geometry_types"),
+    )
     back = read_geoparquet(m.spark, path)
+    boxes = back.select(
+        F.lit(True).alias("geo"),
+        "Gemeindeschluessel", "Gemeindename", geometry_bounds(F.col(GEOMETRY)).alias("b"),
+    ).select("geo", "Gemeindeschluessel", "Gemeindename", "b.*")
+    return boxes.join(entries.distinct(), "geo").drop("geo")
+
+
+def geoparquet_box(m: Model) -> DataFrame:
+    """Polygons that touch a box, from a file with boxes."""
+    path = scratch(m.spark, "geo")
+    write_geoparquet(m.polygons, path, covering=True)
+    back = read_geoparquet(m.spark, path, box=(3.5, 8.2, 9, 9))
     return back.select(
         "Gemeindeschluessel", "Gemeindename", geometry_bounds(F.col(GEOMETRY)).alias("b")
     ).select("Gemeindeschluessel", "Gemeindename", "b.*")
@@ -556,6 +573,7 @@ _BY_NAME: dict[str, Callable[[Model], DataFrame]] = {
     "parquet_roundtrip": parquet_roundtrip,
     "chunked_roundtrip": chunked_roundtrip,
     "geoparquet_roundtrip": geoparquet_roundtrip,
+    "geoparquet_box": geoparquet_box,
     "export_router": export_router,
     "copy_tables": copied_tables,
     "copy_repaired": copy_repaired,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -174,19 +175,33 @@ def rank_units(path: str, pattern: str) -> UnitEncoder:
 
         known: dict[str, bytes] = {}
 
-        def piece_ids(piece: str) -> bytes:
-            value = known.get(piece)
-            if value is None:
-                value = array("i", encoder.encode(piece.encode())).tobytes()
-                if len(known) < CACHED_PIECES and len(piece) <= CACHED_UNIT_CHARS:
-                    known[piece] = value
-            return value
+        def values_of(cut: list[str]) -> list[bytes]:
+            fresh = list(set(cut).difference(known))
+            for piece in fresh:
+                known[piece] = array("i", encoder.encode(piece.encode())).tobytes()
+            values = list(map(known.__getitem__, cut))
+            room = max(0, CACHED_PIECES - len(known) + len(fresh))
+            long = [piece for piece in fresh[:room] if len(piece) > CACHED_UNIT_CHARS]
+            for piece in fresh[room:] + long:
+                del known[piece]
+            return values
 
         def encode_units(units: list[str]) -> list[bytes]:
-            values = []
-            for unit in units:
-                values.append(b"".join([piece_ids(piece) for piece in pieces.findall(unit)]))
-            return values
+            # no piece reaches over the space that a unit begins with, where the one
+            # before ends with another character: such units are cut in one go
+            joined = [u for u in units if u[:1] == " " and not u[-1:].isspace()]
+            others = [u for u in units if u[:1] != " " or u[-1:].isspace()]
+            cut = [pieces.findall("".join(joined)), *map(pieces.findall, others)]
+            values = values_of(list(chain.from_iterable(cut)))
+            spans = np.cumsum(np.fromiter(map(len, cut[0]), np.int64, len(cut[0])))
+            ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+            counts = [0, *(np.searchsorted(spans, ends) + 1).tolist()]
+            for own in cut[1:]:
+                counts.append(counts[-1] + len(own))
+            bounds = np.cumsum([0, *map(len, values)])[counts].tolist()
+            flat = b"".join(values)
+            ids = dict(zip(joined + others, [flat[a:b] for a, b in zip(bounds, bounds[1:])]))
+            return list(map(ids.__getitem__, units))
 
         return UnitEncoder(encode_units, keep_space=True)
 
@@ -213,18 +228,20 @@ def decoded(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("binary")
     def decode(column: pa.Array) -> pa.Array:
-        def build() -> list[bytes]:
+        def build() -> pa.Array:
             tokens = {rank: token for token, rank in read_ranks(path).items()}
-            return [tokens.get(i, b"") for i in range(max(tokens) + 1)]
-
-        table = worker_value(("tokens", path), build)
-
-        def of(values: Iterator) -> Iterator[bytes]:
-            for value in values:
-                numbers = value.values.to_numpy().tolist() if value.is_valid else []
-                yield b"".join(map(table.__getitem__, numbers))
-
-        return pa.array(list(of(column)), pa.binary())
+            return pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
+
+        # the tokens of a whole batch lie side by side, as the bytes of its documents
+        tokens = worker_value(("tokens", path), build).take(column.flatten())
+        _, ends, data = tokens.buffers()
+        at = np.frombuffer(ends, np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        bounds = at[bounds].astype(np.int64) if len(tokens) else bounds
+        whole = pa.py_buffer(np.ascontiguousarray(bounds))
+        found = pa.Array.from_buffers(pa.large_binary(), len(column), [None, whole, data])
+        return found.cast(pa.binary())
 
     return decode(ids)
 

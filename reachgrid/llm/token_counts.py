@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import tee
 
 import numpy as np
 import pyarrow as pa
@@ -67,8 +68,8 @@ def counted(text: Column, sections: Column | None, path: str, rule: str = "first
     def rows(texts: pa.Array, bounds: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
         units, sizes = library_units(path, keep_space=True), token_bytes(path)
         columns, lengths = [], [0]
-        whole = list(texts_of(texts))
-        for string, values, (starts, ends) in zip(whole, units.encode(whole), bounds):
+        strings, same = tee(texts_of(texts))  # not all of a batch at once
+        for string, values, (starts, ends) in zip(strings, units.encode(same), bounds):
             n = len(starts)
             lengths.append(lengths[-1] + n)
             if not n:

@@ -27,11 +27,12 @@ MAGIC = b"TOKIDS01"
 HEAD = len(MAGIC) + 32
 TAIL = "<QQ"
 
-#: The dictionary is trained on so many documents of at most so many characters,
-#: those with the smallest hashes: only compression depends on it.
-SAMPLE = 128
-SAMPLE_CHARS = 4_000
+#: The dictionary is trained on so many different texts of any length, their ids in
+#: samples of so many bytes: only compression depends on it.
+SAMPLE = 512
+SAMPLE_BYTES = 16 * 1024
 DICTIONARY_BYTES = 64 * 1024
+LEVEL = 3
 
 #: A file is closed when it has grown to so many bytes.
 FILE_BYTES = 64 * 1024 * 1024
@@ -40,22 +41,40 @@ FILES_SCHEMA = "file string, docs long, ids long, first struct<key:{0},at:long>,
 
 
 def train(docs: DataFrame, path: str, text: str, end_id: int) -> bytes:
-    """A dictionary from the serialized ids of a bounded sample; none if the sample is
-    too small or too uniform to train on."""
-    sample = (
-        docs.select(F.col(text).alias("text"))
-        .filter(F.length("text").between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64("text"))
-        .limit(SAMPLE)
-    )
-    units = library_units(path, keep_space=True)
-    end = np.array([end_id], "<u4").tobytes()
-    texts = [row["text"] for row in sample.collect()]
-    samples = [b"".join(values) + end for values in units.encode(texts)]
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:
+    """A dictionary from the serialized ids of SAMPLE different texts, those with the
+    smallest hashes; none if they are too few or too uniform to train on.
+
+    A threshold on the hash, from the approximate number of different texts, leaves
+    about twice as many before anything is shuffled or sorted; copies of a text are
+    one. One task encodes the sample and trains on it; the driver gets the dictionary.
+    """
+    hashed = docs.select(
+        F.col(text).alias("text"), F.shiftrightunsigned(F.xxhash64(text), 1).alias("at")
+    ).filter(F.length("text") > 0)
+    n = hashed.agg(F.approx_count_distinct("at")).first()[0]
+    if not n:
         return b""
+    limit = min(1 << 63, (1 << 63) * 2 * SAMPLE // n) - 1
+    some = hashed.filter(F.col("at") <= limit).dropDuplicates(["at"])
+    ordered = some.repartition(1).sortWithinPartitions("at")
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = library_units(path, keep_space=True)
+        end = np.array([end_id], "<u4").tobytes()
+        samples, left = [], SAMPLE
+        for batch in batches:
+            texts = texts_of(batch["text"].slice(0, left))
+            for values in units.encode(texts):
+                ids = b"".join(values) + end
+                samples += [ids[i : i + SAMPLE_BYTES] for i in range(0, len(ids), SAMPLE_BYTES)]
+                left -= 1
+        try:
+            found = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+        except zstandard.ZstdError:
+            found = b""
+        yield pa.RecordBatch.from_arrays([pa.array([found], pa.binary())], ["dictionary"])
+
+    return bytes(ordered.mapInArrow(trained, "dictionary binary").first()[0])
 
 
 class Shard:
@@ -66,7 +85,7 @@ class Shard:
         self.stream = create(self.uri)
         self.stream.write(MAGIC + hashlib.sha256(dictionary).digest())
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        self.compressor = zstandard.ZstdCompressor(level=1, dict_data=shared)
+        self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         self.keys: list = []
         self.starts, self.ends = [0], [HEAD]
 

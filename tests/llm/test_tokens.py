@@ -68,6 +68,21 @@ def test_token_files(spark, tmp_path):
     assert token_files.round_trip(frame(spark, []), BYTES).count() == 0
 
 
+def test_dictionary_of_different_texts_of_all_lengths(spark, monkeypatch):
+    copies = [(i, words(0, 200)) for i in range(400)]
+    others = [(500 + i, words(i, 40 if i % 2 else 2_000)) for i in range(100)]
+    found = token_files.train(frame(spark, plain(copies + others)), BYTES, "text", 2)
+    alone = token_files.train(frame(spark, plain(copies[:1] + others)), BYTES, "text", 2)
+    assert found == alone and len(found) == token_files.DICTIONARY_BYTES
+    assert token_files.train(frame(spark, plain(copies)), BYTES, "text", 2) == b""
+    assert token_files.train(frame(spark, []), BYTES, "text", 2) == b""
+    # a part of many texts is the same part, however they are dealt out
+    monkeypatch.setattr(token_files, "SAMPLE", 16)
+    many = frame(spark, plain(others))
+    one, two = (token_files.train(many.repartition(n), BYTES, "text", 2) for n in (1, 7))
+    assert one == two and 0 < len(one) <= token_files.DICTIONARY_BYTES
+
+
 def check_pieces(rows, documents, window):
     by_document, sequences = {}, {}
     for r in rows:

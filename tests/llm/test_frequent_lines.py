@@ -1,8 +1,14 @@
 """Lines that many documents share: how documents are counted."""
 
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
 from reachgrid.llm import quality
 
 from .cases import frame, plain, words
+from .test_texts import brute_measures
 
 
 def verdicts(spark, rows, **limits):
@@ -20,12 +26,19 @@ def test_documents_of_shared_lines_and_one_own_line_count_each(spark):
     assert all(len(r.removed) == 10 and not r.kept for r in found.values())
 
 
+@pytest.mark.parametrize("own", [4, 8, 9, 10, 12])
+def test_pages_of_boilerplate_are_rejected(spark, own):
+    """A shared header and footer of 80 words, however few words lie between."""
+    head, foot = words(1, 40), words(2, 40)
+    rows = [(i, f"{head}\n{words(1000 + i, own)}\n{foot}") for i in range(500)]
+    found = verdicts(spark, rows)
+    assert len(found) == 500
+    assert all(sorted(r.removed) == [0, 2] and not r.kept for r in found.values())
+
+
 def test_copies_count_once(spark):
-    lines = [words(800 + i, 12) for i in range(20)]
-    near = [[*lines[: i % 20], words(i, 12), *lines[i % 20 + 1 :]] for i in range(60)]
-    rows = [(i, "\n".join(x)) for i, x in enumerate(near)]
     # exact copies but for case and white space
-    rows += [(100 + i, f"{words(1, 30)}\n{words(2, 30).upper()}" + " " * i) for i in range(60)]
+    rows = [(100 + i, f"{words(1, 30)}\n{words(2, 30).upper()}" + " " * i) for i in range(60)]
     # one article below each of many frequent banners
     banners = [words(900 + i, 6) for i in range(25)]
     rows += [(200 + i, f"{b}\n{words(3, 60)}\n{words(4, 60)}") for i, b in enumerate(banners)]
@@ -35,11 +48,53 @@ def test_copies_count_once(spark):
         for k, b in enumerate(banners)
     ]
     found = verdicts(spark, rows, documents=20, share=0.0)
-    assert all(found[i].kept and found[i].removed is None for i in range(60))
     assert all(found[100 + i].kept and found[100 + i].removed is None for i in range(60))
     assert all(r.kept and r.removed == [0] for k, r in found.items() if k >= 200)
 
 
+def brute_kept(rows, documents, share):
+    """Key -> places of the lines that go, and whether the document stays."""
+    normal = lambda line: " ".join(line.lower().split())
+    hosts = defaultdict(set)
+    for _, text, host in rows:
+        hosts[host].add(frozenset(map(normal, (text or "").split("\n"))) - {""})
+    gone = {}
+    for host, contents in hosts.items():
+        first = Counter(line for c in contents for line in c)
+        told = {c: frozenset(x for x in c if first[x] <= documents) for c in contents}
+        held = Counter(line for line, _ in {(x, told[c]) for c in contents for x in c})
+        n = len(set(told.values()))
+        gone[host] = {x for x, k in held.items() if k > documents and k > share * n}
+    out = {}
+    for key, text, host in rows:
+        lines = (text or "").split("\n")
+        places = [i for i, x in enumerate(lines) if normal(x) in gone[host]]
+        n_words, _, _, _, repeated = brute_measures(text)
+        left = n_words - sum(len(lines[i].split()) for i in places)
+        failed = n_words < 20 or 100 * repeated > 30 * n_words
+        out[key] = places, not failed and left >= 20 and left >= 0.5 * n_words
+    return out
+
+
+@pytest.mark.parametrize("documents,share", [(3, 0.0), (3, 0.2), (10, 0.05)])
+def test_verdicts_equal_brute_force(spark, documents, share):
+    rng = random.Random(documents)
+    shared = [words(i, rng.randint(1, 12)) for i in range(14)]
+    rows = []
+    for i in range(300):
+        lines = rng.sample(shared, rng.randint(0, 5))
+        lines += [words(100 + rng.randint(0, 250), rng.randint(1, 40)) for _ in range(rng.randint(0, 3))]
+        rng.shuffle(lines)
+        text = None if i % 50 == 7 else "\n".join(x.upper() if i % 5 == 0 else x for x in lines)
+        rows.append((i, text, rng.choice(["a", "a", "b", None])))
+    df = frame(spark, [(*r, *[None] * 9) for r in rows])
+    got = {
+        r.key: (sorted(r.removed or []), r.kept)
+        for r in quality.verdicts(df, documents=documents, share=share).collect()
+    }
+    assert got == brute_kept(rows, documents, share)
+
+
 def test_limits_hold_at_any_size_and_over_distinct_documents(spark):
     line = words(900, 6)
     rows = [(i, f"{words(i, 30)}\n{line}" if i < 15 else words(i, 36)) for i in range(60)]

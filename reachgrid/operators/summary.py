@@ -183,14 +183,15 @@ def threshold_of_times(
 
 
 def partial_columns(thresholds: list[float], reached: Column) -> list[Column]:
-    """Sums of a small unit from which ``rolled_up`` makes those of larger ones."""
+    """Sums of a small unit from which ``rolled_up`` makes those of larger ones;
+    ``reached`` counts cells that are in no other one."""
     people, copies, seconds = F.col(_PEOPLE), F.col(_COPIES), F.col(_SECONDS)
     return [
         total(people * copies).alias("_people_sum"),
         exact_product(seconds, people, copies).alias("_weighted"),
         exact_weight(seconds, people, copies).alias("_weights"),
         unknown_weight(seconds, people).alias("_unknown"),
-        F.sum(reached).alias("_reached"),
+        reached.alias("_reached"),
         *(affected(t).alias(f"_beyond_{i}") for i, t in enumerate(thresholds)),
     ]
 

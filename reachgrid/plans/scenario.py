@@ -222,7 +222,7 @@ def scenario_all_levels(
     thresholds = clean_thresholds(grenzwert_minuten)
     cells = prepared_rows(_apart(_reached_cells(tables, hospitals, columns, ties)), COPIES)
     once = F.col("_cell").isNull().cast("long")
-    small = cells.groupBy(*columns, "_cell").agg(*partial_columns(thresholds, once))
+    small = cells.groupBy(*columns, "_cell").agg(*partial_columns(thresholds, F.sum(once)))
     summary = _on_all_levels(small).groupBy(
         LEVEL, UNIT_ID, UNIT, "Bundesland", "Bundesland_ID"
     ).agg(*rolled_up(thresholds))

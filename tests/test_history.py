@@ -1,0 +1,54 @@
+"""Stored time points against summaries of all their rows."""
+
+import random
+
+import pytest
+
+from reachgrid.operators.analyses import zeitreihen_vergleich
+from reachgrid.plans.history import compare_time_points, store_time_point
+from tests.conftest import rows
+
+SCHEMA = "Gitterzellen_ID string, Fahrzeit_Sekunden int, Einwohner long, Land string, n int"
+
+
+def some_rows(seed):
+    rng = random.Random(seed)
+    return [
+        (rng.choice([None, *(f"c{i}" for i in range(80))]), rng.choice([None, *range(0, 4000, 70)]),
+         rng.choice([None, 0, 5, 70]), rng.choice(["A", "B", None]), rng.randint(1, 3))
+        for _ in range(300)
+    ]
+
+
+def test_only_changed_ranges_are_summed_again(spark, tmp_path):
+    first = some_rows(1)
+    second = [(*r[:1], 1, *r[2:]) if r[0] == "c7" else r for r in first if r[0] != "c9"]
+    third = second + [("new", 60, 3, "C", 1)]
+    points, folders, before = {}, {}, None
+    for name, data in (("2020", first), ("2022", second), ("2024", third), ("2025", third)):
+        df = spark.createDataFrame(random.Random(name).sample(data, len(data)), SCHEMA)
+        folders[name] = str(tmp_path / name)
+        points[name] = store_time_point(df, folders[name], ["Land"], "n", before, ranges=32)
+        before = folders[name]
+    shares = {name: p.share_read for name, p in points.items()}
+    assert shares["2020"] == 1 and shares["2025"] == 0
+    assert 0 < shares["2022"] < 0.2 and 0 < shares["2024"] < 0.1
+    data = {"2020": first, "2022": second, "2024": third, "2025": third}
+    frames = {name: spark.createDataFrame(d, SCHEMA) for name, d in data.items()}
+    whole = zeitreihen_vergleich(frames, ["Land"], "n")
+    merged = compare_time_points(spark, folders, ["Land"])
+    assert rows(merged.select(*whole.columns), "Land", "Zeitpunkt") == rows(whole, "Land", "Zeitpunkt")
+
+
+def test_no_rows_and_no_time_point_before(spark, tmp_path):
+    empty = spark.createDataFrame([], SCHEMA)
+    point = store_time_point(empty, str(tmp_path / "a"), ["Land"], "n")
+    assert (point.rows, point.share_read) == (0, 0)
+    assert compare_time_points(spark, {"x": point.folder}, ["Land"]).count() == 0
+    full = spark.createDataFrame(some_rows(2), SCHEMA)
+    after = store_time_point(full, str(tmp_path / "b"), ["Land"], "n", point.folder)
+    assert after.share_read == 1
+    with pytest.raises(FileNotFoundError, match="No stored time point"):
+        store_time_point(full, str(tmp_path / "c"), ["Land"], "n", str(tmp_path / "absent"))
+    with pytest.raises(ValueError, match="cannot replace"):
+        store_time_point(full, str(tmp_path / "b"), ["Land"], "n", str(tmp_path / "b"))

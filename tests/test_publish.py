@@ -59,7 +59,7 @@ def parsed(document, tmp_path, name="doc"):
 
 def test_properties(spark):
     df = build_scenario_properties(
-        summary(spark, ("09162000", "München", 1471508.0, 12.345, 1.0, 1.0, 100.0))
+        summary(spark, ("01234567", "Nordhafen", 40817.0, 8.6125, 3.0, 3.0, 100.0))
     )
     assert df.columns == [
         "AGS",
@@ -69,11 +69,11 @@ def test_properties(spark):
         "fahrtzeit_scenario_1_str",
     ]
     assert tuple(df.collect()[0]) == (
-        "09162000",
-        "München",
-        f"1{SPACE}471{SPACE}508",
-        12.345,
-        "12,3 Minuten",
+        "01234567",
+        "Nordhafen",
+        f"40{SPACE}817",
+        8.6125,
+        "8,6 Minuten",
     )
     with pytest.raises(ValueError, match="Missing required columns"):
         build_scenario_properties(spark.range(1))
@@ -86,12 +86,12 @@ def test_second_scenario_is_empty(spark):
 
 def test_polygons_all_survive(spark):
     properties = add_empty_scenario2_columns(
-        build_scenario_properties(summary(spark, ("A", None, 1000.0, 15.0, 1.0, 1.0, 100.0)))
+        build_scenario_properties(summary(spark, ("A", None, 6400.0, 27.5, 1.0, 1.0, 100.0)))
     )
     df = join_properties_to_polygons(polygons(spark, "A", "B"), properties)
     found = {r.AGS: (r.GEN, r.EWZ, r.fahrtzeit_scenario_1) for r in df.collect()}
     assert found == {
-        "A": ("Stadt A", f"1{SPACE}000", 15.0),
+        "A": ("Stadt A", f"6{SPACE}400", 27.5),
         "B": ("Stadt B", None, None),
     }
 
@@ -99,8 +99,8 @@ def test_polygons_all_survive(spark):
 def test_scenario_document(spark, tmp_path):
     data = summary(
         spark,
-        ("A", "Stadt A", 1000.0, 12.5, 50.0, 50.0, 100.0),
-        ("B", "Stadt B", 500.0, 20.3, 50.0, 100.0, 50.0),
+        ("A", "Stadt A", 7300.0, 18.25, 50.0, 50.0, 100.0),
+        ("B", "Stadt B", 910.0, 41.5, 50.0, 100.0, 50.0),
     )
     collection = szenario_to_geojson(
         data, polygons(spark, "A", "B", "C"), hospitals(spark, "H1", "H2"),
@@ -118,7 +118,7 @@ def test_scenario_document(spark, tmp_path):
     features = {f["properties"]["AGS"]: f for f in doc["features"]}
     assert list(features) == ["A", "B", "C"]
     assert list(features["A"]["properties"]) == UNIT_PROPERTIES
-    assert features["A"]["properties"]["fahrtzeit_scenario_1"] == 12.5
+    assert features["A"]["properties"]["fahrtzeit_scenario_1"] == 18.25
     assert features["A"]["geometry"]["type"] == "Polygon"
     # Covered too little, or not at all: kept without values.
     for key in "BC":

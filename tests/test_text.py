@@ -18,16 +18,16 @@ def text(spark, expression, *values):
 
 
 def test_minutes(spark):
-    values = (12.345, None, 0.0, 1234.5, 20.5, float("nan"))
+    values = (7.062, None, 0.04, 48210.31, 33.3, float("nan"))
     assert text(spark, format_fahrtzeit(F.col("x")), *values) == [
-        "12,3 Minuten",
+        "7,1 Minuten",
         "keine Daten",
         "0,0 Minuten",
-        "1 234,5 Minuten",
-        "20,5 Minuten",
+        "48 210,3 Minuten",
+        "33,3 Minuten",
         "keine Daten",
     ]
-    assert text(spark, format_fahrtzeit(F.col("x"), 2), 12.345) == ["12,35 Minuten"]
+    assert text(spark, format_fahrtzeit(F.col("x"), 2), 7.068) == ["7,07 Minuten"]
 
 
 def test_minutes_round_the_binary_value(spark):
@@ -39,14 +39,14 @@ def test_minutes_round_the_binary_value(spark):
 
 
 def test_people(spark):
-    values = (1471508.0, None, 0.0, 1000.0, 1000.5, 500.0)
+    values = (20836417.0, None, 7.0, 3060.0, 92040.25, 811.0)
     assert text(spark, format_ewz(F.col("x")), *values) == [
-        f"1{SPACE}471{SPACE}508",
+        f"20{SPACE}836{SPACE}417",
         "keine Daten",
-        "0",
-        f"1{SPACE}000",
-        f"1{SPACE}000,50",
-        "500",
+        "7",
+        f"3{SPACE}060",
+        f"92{SPACE}040,25",
+        "811",
     ]
 
 

@@ -135,6 +135,10 @@ class Model:
     def closed(self) -> DataFrame:
         return self.hospitals_between(2000, 7000)
 
+    @cached_property
+    def few_closed(self) -> DataFrame:
+        return self.hospitals_between(9000, 9200)
+
     def tables(self, layout: str = LAYOUT_COMBINED) -> ScenarioTables:
         if layout == LAYOUT_COMBINED:
             cells = cell_table(layout, self.cells_combined)

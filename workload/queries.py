@@ -50,6 +50,7 @@ from reachgrid.operators.summary import (
     threshold_of_times,
 )
 from reachgrid.plans.extracts import geofilter, klinikfilter, komplettexport
+from reachgrid.plans.history import compare_time_points, store_time_point
 from reachgrid.plans.publish import (
     assemble_feature_collection,
     build_export_json,
@@ -68,6 +69,7 @@ from reachgrid.schema import (
     CELL_MUNICIPALITY,
     CELL_PEOPLE,
     GEOMETRY,
+    HOSPITAL,
     LAYOUT_COMBINED,
     LAYOUT_SPLIT,
     TRAVEL_TIMES,
@@ -529,6 +531,20 @@ def snapshot_comparison(m: Model) -> DataFrame:
     )
 
 
+def snapshot_changes(m: Model) -> DataFrame:
+    """The same for two stored time points, the later one without a few hospitals: only
+    ranges of cells with other rows are summed again."""
+    tables, folder = m.tables(), scratch(m.spark, "time-points")
+    names = ["2020", "2024"]
+    hospitals = [m.all_hospitals, m.all_hospitals.join(m.few_closed, HOSPITAL, "left_anti")]
+    before = None
+    for name, listed in zip(names, hospitals):
+        data = scenario_cells(tables, listed, counted=True)
+        store_time_point(data, f"{folder}/{name}", ["Bundesland"], COPIES, before)
+        before = f"{folder}/{name}"
+    return compare_time_points(m.spark, {n: f"{folder}/{n}" for n in names}, ["Bundesland"])
+
+
 _BY_NAME: dict[str, Callable[[Model], DataFrame]] = {
     "scenario_gemeinde": scenario("Gemeinde"),
     "scenario_kreis": scenario("Kreis"),
@@ -594,6 +610,7 @@ _BY_NAME: dict[str, Callable[[Model], DataFrame]] = {
     "catchment": catchment,
     "time_bands": time_bands,
     "snapshot_comparison": snapshot_comparison,
+    "snapshot_changes": snapshot_changes,
 }
 
 

@@ -540,7 +540,7 @@ def snapshot_changes(m: Model) -> DataFrame:
     before = None
     for name, listed in zip(names, hospitals):
         data = scenario_cells(tables, listed, counted=True)
-        store_time_point(data, f"{folder}/{name}", ["Bundesland"], COPIES, before)
+        store_time_point(data, f"{folder}/{name}", ["Bundesland"], COPIES, before, 32)
         before = f"{folder}/{name}"
     return compare_time_points(m.spark, {n: f"{folder}/{n}" for n in names}, ["Bundesland"])
 

@@ -208,17 +208,41 @@ def rank_units(path: str, pattern: str) -> UnitEncoder:
     return worker_value(("ranks", path, pattern), build)
 
 
-def encoded(text: Column, path: str, pattern: str) -> Column:
-    """The ids of each match of ``pattern`` in a whole text, special tokens being
+def encoded_batch(column: pa.Array, path: str, pattern: str) -> pa.Array:
+    """The ids of each match of ``pattern`` in whole texts, special tokens being
     ordinary text. A null text has no ids, like an empty one."""
+    units = rank_units(path, pattern)
+    values = [np.frombuffer(b"".join(v), "<i4") for v in units.encode(texts_of(column))]
+    offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+    flat = np.concatenate(values) if values else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
+def decoded_batch(column: pa.Array, path: str) -> pa.Array:
+    """The bytes of lists of ids; a null list has none."""
+
+    def build() -> pa.Array:
+        tokens = {rank: token for token, rank in read_ranks(path).items()}
+        return pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
+
+    # the tokens of a whole batch lie side by side, as the bytes of its documents
+    tokens = worker_value(("tokens", path), build).take(column.flatten())
+    _, ends, data = tokens.buffers()
+    at = np.frombuffer(ends, np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    bounds = at[bounds].astype(np.int64) if len(tokens) else bounds
+    whole = pa.py_buffer(np.ascontiguousarray(bounds))
+    found = pa.Array.from_buffers(pa.large_binary(), len(column), [None, whole, data])
+    return found.cast(pa.binary())
+
+
+def encoded(text: Column, path: str, pattern: str) -> Column:
+    """The ids of a text (see ``encoded_batch``)."""
 
     @F.arrow_udf("array<int>")
     def encode(column: pa.Array) -> pa.Array:
-        units = rank_units(path, pattern)
-        values = [np.frombuffer(b"".join(v), "<i4") for v in units.encode(texts_of(column))]
-        offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
-        flat = np.concatenate(values) if values else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+        return encoded_batch(column, path, pattern)
 
     return encode(text)
 
@@ -228,30 +252,23 @@ def decoded(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("binary")
     def decode(column: pa.Array) -> pa.Array:
-        def build() -> pa.Array:
-            tokens = {rank: token for token, rank in read_ranks(path).items()}
-            return pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
-
-        # the tokens of a whole batch lie side by side, as the bytes of its documents
-        tokens = worker_value(("tokens", path), build).take(column.flatten())
-        _, ends, data = tokens.buffers()
-        at = np.frombuffer(ends, np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
-        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
-        bounds = np.concatenate(([0], np.cumsum(sizes)))
-        bounds = at[bounds].astype(np.int64) if len(tokens) else bounds
-        whole = pa.py_buffer(np.ascontiguousarray(bounds))
-        found = pa.Array.from_buffers(pa.large_binary(), len(column), [None, whole, data])
-        return found.cast(pa.binary())
+        return decoded_batch(column, path)
 
     return decode(ids)
 
 
 def round_trip(docs, path: str, pattern: str, key: str = "doc_id", text: str = "text"):
     """``key, ids, decoded`` of every row: the ids of its whole text, and the bytes
-    that they decode to.
+    that they decode to. Both come from one function, so that texts are encoded once.
 
     Null texts are empty: no ids, no bytes. Null keys and repeated rows stay as they
     are; an empty table gives no rows; other columns are not read.
     """
-    rows = docs.select(F.col(key), encoded(F.col(text), path, pattern).alias("ids"))
-    return rows.withColumn("decoded", decoded(F.col("ids"), path))
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def both(column: pa.Array) -> pa.Array:
+        ids = encoded_batch(column, path, pattern)
+        return pa.StructArray.from_arrays([ids, decoded_batch(ids, path)], ["ids", "decoded"])
+
+    rows = docs.select(F.col(key), both(F.col(text)).alias("__both"))
+    return rows.select(key, "__both.ids", "__both.decoded")

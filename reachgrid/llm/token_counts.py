@@ -16,7 +16,8 @@ from reachgrid.llm.shared import library_units, texts_of, worker_value
 #: or that of its last.
 RULES = ("first", "last")
 
-COUNTS = "array<struct<start:long,end:long,n_tokens:long,n_crossing:long>>"
+FIELDS = ("start", "end", "n_tokens", "n_crossing", "doc_tokens")
+COUNTS = f"array<struct<{','.join(f'{name}:long' for name in FIELDS)}>>"
 
 
 def token_bytes(path: str) -> np.ndarray:
@@ -56,8 +57,8 @@ def line_bounds(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def counted(text: Column, sections: Column | None, path: str, rule: str = "first") -> Column:
-    """Per section ``start, end, n_tokens``, by the rule, and ``n_crossing``, those of
-    them that reach beyond the section.
+    """Per section ``start, end, n_tokens``, by the rule, ``n_crossing``, those of them
+    that reach beyond the section, and ``doc_tokens``, those of all its sections.
 
     ``sections`` are ``start, end`` in code points, end exclusive, in order and without
     overlap, tokens between them going to none; without them the lines are taken.
@@ -82,14 +83,14 @@ def counted(text: Column, sections: Column | None, path: str, rule: str = "first
             over = (first < starts[owner]) | (last >= ends[owner])
             columns.append((
                 starts, ends, np.bincount(owner, minlength=n),
-                np.bincount(owner[over], minlength=n),
+                np.bincount(owner[over], minlength=n), np.full(n, len(owner)),
             ))
         none = [np.empty(0, np.int64)]
         arrays = [
             pa.array(np.concatenate([c[i] for c in columns] or none).astype(np.int64))
-            for i in range(4)
+            for i in range(len(FIELDS))
         ]
-        found = pa.StructArray.from_arrays(arrays, ["start", "end", "n_tokens", "n_crossing"])
+        found = pa.StructArray.from_arrays(arrays, list(FIELDS))
         return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), found)
 
     if sections is None:
@@ -136,12 +137,8 @@ def section_counts(
     """
     counts = counted(F.col("__text"), sections, path, rule)
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumn("__text", whole).select(F.col(key), counts.alias("__counts"))
-    total = F.aggregate("__counts", F.lit(0).cast("long"), lambda a, c: a + c["n_tokens"])
-    rows = rows.select(
-        F.col(key), total.alias("doc_tokens"), F.posexplode("__counts").alias("section", "s")
-    )
-    return rows.select(
-        key, F.col("section").cast("long").alias("section"),
-        "s.start", "s.end", "s.n_tokens", "s.n_crossing", "doc_tokens",
+    # the counts are used once: a second use would encode the texts again
+    rows = docs.withColumn("__text", whole).select(
+        F.col(key), F.posexplode(counts).alias("section", "s")
     )
+    return rows.select(key, F.col("section").cast("long").alias("section"), "s.*")

@@ -18,6 +18,12 @@ WINDOW = 2048
 #: In combinations of three lengths, one is a multiple of this.
 STEP = 64
 
+#: Lengths of a combination for residuals, lengths that are tried for one place, and
+#: rooms that are looked at to fill one sequence.
+DEEPEST = 7
+TRIES = 12
+ROOMS = 200
+
 #: Rounds of the least-squares solver.
 ROUNDS = 300
 
@@ -118,12 +124,59 @@ def least_squares(combos: np.ndarray, histogram: np.ndarray, rounds: int) -> np.
     return x
 
 
+def filled(left: np.ndarray, room: int, deepest: int, tries: list[int]) -> list[int] | None:
+    """Up to ``deepest`` lengths that are left and fill a room, or None: one or two that
+    can be used most often, else the largest that leaves a room which can be filled.
+    ``tries`` holds the number of rooms that may still be looked at."""
+    tries[0] -= 1
+    if tries[0] < 0 or deepest < 1:
+        return None
+    if left[room]:
+        return [room]
+    if deepest < 2 or room < 2:
+        return None
+    often = np.minimum(left[1 : room // 2 + 1], left[room - 1 : (room - 1) // 2 : -1])
+    if room % 2 == 0:
+        often[-1] = left[room // 2] // 2
+    best = int(often.argmax())
+    if often[best]:
+        return [room - best - 1, best + 1]
+    for length in np.flatnonzero(left[:room])[::-1][:TRIES].tolist():
+        if length * deepest < room:
+            break
+        left[length] -= 1
+        rest = filled(left, room - length, deepest - 1, tries)
+        left[length] += 1
+        if rest is not None:
+            return [length, *rest]
+    return None
+
+
+def packed_residuals(left: np.ndarray, window: int) -> list[tuple[list[int], int]]:
+    """Combinations of up to DEEPEST lengths that fill the window, found greedily for the
+    longest that is left, each used as often as its lengths last; ``left`` is lowered."""
+    chosen = []
+    for length in range(window - 1, window // DEEPEST, -1):
+        while left[length]:
+            left[length] -= 1
+            rest = filled(left, window - length, DEEPEST - 1, [ROOMS])
+            left[length] += 1
+            if rest is None:
+                break
+            kinds, each = np.unique([length, *rest], return_counts=True)
+            times = int((left[kinds] // each).min())
+            left[kinds] -= times * each
+            chosen.append(([length, *rest], times))
+    return chosen
+
+
 def plan(histogram: np.ndarray, window: int, step: int = STEP) -> tuple[list[tuple], np.ndarray]:
     """How the rests of documents share sequences: ``(lengths, times)`` and, per
     length, how many are left.
 
-    The solution is rounded down to what the histogram holds; then each combination,
-    largest solution first, takes what it still can of the residual.
+    The solution is rounded to what the histogram holds; then each combination, largest
+    solution first, takes what it still can of the residual. What is left after that
+    is packed greedily, in combinations of more lengths.
     """
     left = histogram.astype(np.int64).copy()
     left[0] = 0
@@ -142,7 +195,8 @@ def plan(histogram: np.ndarray, window: int, step: int = STEP) -> tuple[list[tup
                 if times:
                     left[kinds] -= times * each
                     chosen[j] = chosen.get(j, 0) + times
-    return [(combos[j][combos[j] > 0].tolist(), n) for j, n in chosen.items()], left
+    found = [(combos[j][combos[j] > 0].tolist(), n) for j, n in chosen.items()]
+    return found + packed_residuals(left, window), left
 
 
 def slots(histogram: np.ndarray, window: int) -> tuple[list[tuple], list[tuple[int, int]]]:

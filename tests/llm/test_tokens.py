@@ -115,15 +115,31 @@ def test_packing_of_nothing(spark):
     assert packing.pack(frame(spark, []), WORDS).count() == 0
 
 
-def test_plan_uses_each_length_at_most_as_often_as_it_occurs():
-    histogram = np.bincount(np.random.default_rng(1).integers(1, 64, 2_000), minlength=64)
-    chosen, left = packing.plan(histogram, 64, 4)
-    used = np.zeros(64, int)
+@pytest.mark.parametrize("n,window,step", [(2_000, 64, 4), (200, 2048, 64), (10_000, 2048, 64)])
+def test_plan_uses_each_length_at_most_as_often_as_it_occurs(n, window, step):
+    rng = np.random.default_rng(n)
+    lengths = np.minimum(rng.lognormal(6, 1, n).astype(int) % window, window - 1)
+    histogram = np.bincount(lengths, minlength=window)
+    chosen, left = packing.plan(histogram, window, step)
+    used = np.zeros(window, int)
     for lengths, times in chosen:
-        assert sum(lengths) == 64
+        assert sum(lengths) == window and times > 0
         for length in lengths:
             used[length] += times
-    assert (used + left == histogram).all() and left.sum() < 0.2 * histogram.sum()
+    used[0] = histogram[0]
+    assert (used + left == histogram).all() and (left >= 0).all()
+    # little is left to be cut, the less the more there are to choose from
+    weight = np.arange(window)
+    assert (left * weight).sum() < (0.2 if n < 1_000 else 0.1) * (histogram * weight).sum()
+
+
+def test_residuals_are_packed_in_longer_combinations():
+    left = np.zeros(101, int)
+    left[[40, 20, 7, 13]] = 3, 6, 3, 3
+    assert packing.packed_residuals(left, 100) == [([40, 20, 20, 13, 7], 3)]
+    assert not left.any()
+    left[[90, 30]] = 2, 1  # nothing fills the window
+    assert packing.packed_residuals(left, 100) == [] and left.sum() == 3
 
 
 def test_section_counts(spark):

@@ -102,6 +102,9 @@ class UnitEncoder:
         return new[max(room, 0) :] + [u for u in new[:room] if len(u) > CACHED_UNIT_CHARS]
 
 
+#: Punctuation that may follow a word.
+ENDS = ".,;:!?"
+
 #: A word of Latin letters, perhaps after a space, with punctuation after it.
 PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
@@ -149,6 +152,18 @@ def library_units(path: str, keep_space: bool) -> UnitEncoder:
             values: list = [None] * len(units)
             rest = []
             for at, unit in enumerate(units):
+                if keep_space:
+                    # letters of any kind after a space are one piece, and so is the
+                    # punctuation after them
+                    word = unit.rstrip(ENDS)
+                    if word[:1] == " " and word[1:].isalpha():
+                        value, end = piece(word[1:], " "), unit[len(word) :]
+                        if end:
+                            if end not in ends:
+                                ends[end] = piece(end)
+                            value += ends[end]
+                        values[at] = value
+                        continue
                 plain = PLAIN.fullmatch(unit)
                 if plain is None:
                     rest.append(at)

@@ -44,18 +44,21 @@ def train(docs: DataFrame, path: str, text: str, end_id: int) -> bytes:
     """A dictionary from the serialized ids of SAMPLE different texts, those with the
     smallest hashes; none if they are too few or too uniform to train on.
 
-    A threshold on the hash, from the approximate number of different texts, leaves
-    about twice as many before anything is shuffled or sorted; copies of a text are
-    one. One task encodes the sample and trains on it; the driver gets the dictionary.
+    A threshold on the hash, from the number of rows, leaves about twice as many rows
+    before anything is shuffled or sorted; copies of a text are one. If they leave too
+    few texts, the threshold is raised until there are enough, or all are taken. One task
+    encodes the sample and trains on it; the driver gets the dictionary.
     """
     hashed = docs.select(
         F.col(text).alias("text"), F.shiftrightunsigned(F.xxhash64(text), 1).alias("at")
     ).filter(F.length("text") > 0)
-    n = hashed.agg(F.approx_count_distinct("at")).first()[0]
-    if not n:
-        return b""
-    limit = min(1 << 63, (1 << 63) * 2 * SAMPLE // n) - 1
-    some = hashed.filter(F.col("at") <= limit).dropDuplicates(["at"])
+    n = max(1, docs.count())  # from the footers of a stored table
+    limit = 0
+    while limit < (1 << 63) - 1:
+        limit = min(1 << 63, max(4 * limit, (1 << 63) * 2 * SAMPLE // n)) - 1
+        some = store(hashed.filter(F.col("at") <= limit).dropDuplicates(["at"]), "sample")
+        if some.count() >= SAMPLE:
+            break
     ordered = some.repartition(1).sortWithinPartitions("at")
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +77,8 @@ def train(docs: DataFrame, path: str, text: str, end_id: int) -> bytes:
             found = b""
         yield pa.RecordBatch.from_arrays([pa.array([found], pa.binary())], ["dictionary"])
 
-    return bytes(ordered.mapInArrow(trained, "dictionary binary").first()[0])
+    found = ordered.mapInArrow(trained, "dictionary binary").first()
+    return b"" if found is None else bytes(found[0])
 
 
 class Shard:

@@ -28,9 +28,10 @@ COPIES = "_copies"
 NEXT_SECONDS = "Naechste_Sekunden"
 
 # Rows a task reads before it reduces them, and rows of reduced states it holds before
-# it hands them on; more states are merged after the shuffle.
-READ_ROWS = 500_000
-HELD_ROWS = 2_000_000
+# it hands them on; more states are merged after the shuffle. They bound what a worker
+# takes (about 340 MB at its peak), whatever a task reads.
+READ_ROWS = 150_000
+HELD_ROWS = 400_000
 OUT_ROWS = 50_000
 
 

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,26 @@ def test_states_are_the_same_however_often_they_are_merged(spark, monkeypatch):
             assert got == expected and len(found) == len(got)
 
 
+def test_rows_that_a_task_reduces_at_once_are_few(spark):
+    """However many cells there are, none of which can be left out."""
+    df, reduced_rows = fact(spark, []).select("Gitterzellen_ID"), []
+
+    class Rows:
+        schema = df.schema
+
+        def mapInArrow(self, parts, schema):
+            return parts
+
+    def reduce(table):
+        reduced_rows.append(len(table))
+        return table
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["c"] * 10_000)], ["Gitterzellen_ID"])
+    found = smallest.reduced(Rows(), reduce)(iter([batch] * 300))
+    assert sum(b.num_rows for b in found) == 3_000_000
+    assert max(reduced_rows) <= 600_000
+
+
 def test_two_nearest_hospitals_of_every_cell(spark, monkeypatch):
     random.seed(9)
     data = [

@@ -192,6 +192,13 @@ def copied_tables(m: Model) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def write_spread(df: DataFrame, path: str) -> None:
+    """Several files, however few rows there are; many rows are dealt out over as many
+    tasks as their size asks for."""
+    third = max(1, -(-df.count() // 3))  # from the footers
+    df.hint("rebalance").write.option("maxRecordsPerFile", third).parquet(path)
+
+
 def copy_repaired(m: Model) -> DataFrame:
     """Copies over what lost runs have left: a folder without files, a table of which
     files are missing, and whole tables, which stay."""
@@ -202,8 +209,7 @@ def copy_repaired(m: Model) -> DataFrame:
     lost = m.spark._jvm.org.apache.hadoop.fs.Path
     system = lost(folder).getFileSystem(m.spark.sparkContext._jsc.hadoopConfiguration())
     system.mkdirs(lost(f"{folder}/customer.parquet/_temporary/0"))
-    spread = m.raw("lineitem").repartition(3)
-    spread.write.parquet(f"{folder}/lineitem.parquet")
+    write_spread(m.raw("lineitem"), f"{folder}/lineitem.parquet")
     mark_complete(m.spark, f"{folder}/lineitem.parquet")
     parts = [n for n in list_names(m.spark, f"{folder}/lineitem.parquet") if n.startswith("part-")]
     system.delete(lost(f"{folder}/lineitem.parquet/{parts[0]}"), False)

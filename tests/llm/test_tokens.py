@@ -8,7 +8,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reachgrid.llm import bpe, packing, token_counts, token_files
+from reachgrid.llm import bpe, packing, shared, token_counts, token_files
 
 from .cases import awkward, frame, plain, words
 
@@ -43,6 +43,39 @@ def test_backtracking_equals_the_library():
     assert found == [exact.encode_ordinary(t) for t in texts]
 
 
+@pytest.mark.parametrize("path, keep_space", [(BYTES, True), (WORDS, False)])
+def test_words_and_punctuation_equal_the_library(path, keep_space, monkeypatch):
+    monkeypatch.setattr(shared, "WORD_CHARS", 300)
+    monkeypatch.setattr(shared, "RECENT_WORDS", 40)
+    monkeypatch.setattr(shared, "worker_value", lambda key, build: build())
+    exact, units = library(path), shared.library_units(path, keep_space)
+    rng = random.Random(4)
+    parts = ["a", "The", " ", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "\u2003", "é", "É", "ß", "漢",
+             "Σ", "İ", "😀", "'s", "'", "12", "½", "_", "!!!", "$$$", ".\n", ". ", "\u0301", "ing", "aaaa",
+             "\x00", "\r\n", "<|endoftext|>", "|", "ñ", "a" * 70]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(4_000)]
+    texts += [words(i, 50) + ".\n" + words(i, 9).title() + "%%%" for i in range(50)]
+    found = [np.frombuffer(b"".join(v), "<u4").tolist() for v in units.encode(texts)]
+    assert found == [exact.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(units.words) <= 40 and len(units.words.older) <= 40
+
+
+def test_a_word_is_encoded_once_whatever_is_around_it():
+    given = []
+
+    def piece(text):
+        given.append(text)
+        return text.encode()
+
+    def whole(text):
+        raise AssertionError(text)
+
+    units = shared.WordEncoder(piece, whole, True)
+    texts = ["x word word. word$$$ word,\nword. word", "y word;\nword&&&"]
+    assert [b"".join(v).decode() for v in units.encode(texts)] == texts
+    assert given.count(" word") == 1 and given.count("word") == 1
+
+
 def test_bpe_round_trip(spark):
     rows = bpe.round_trip(frame(spark), RANKS, public_tokenizers.PATTERN).collect()
     texts = sorted((t or "").encode() for _, t, *_ in awkward())
